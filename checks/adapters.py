@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from morbidity.config import CONDITION_GROUPS, PERMANENT_DAYS, RESOLVING, Config
+from morbidity.operators.demographics import gp_ethnicity, hospital_ethnicity, modal_value
 from morbidity.plans.study import Tables
 from morbidity.session import tuned
 
@@ -246,12 +248,16 @@ class Fixture:
         return df
 
     @cached_property
-    def tables(self) -> Tables:
-        from morbidity.operators import demographics as d
+    def ethnicity_records(self) -> DataFrame:
+        hospital = hospital_ethnicity(
+            self.eth_episodes, self.eth_attendances, self.eth_outpatients, self.ethnic_groups
+        )
+        return hospital.unionByName(
+            gp_ethnicity(self.observation, self.ethnic_codes, self.ethnic_groups, self.cfg)
+        )
 
-        hospital = d.hospital_ethnicity(self.eth_episodes, self.eth_attendances, self.eth_outpatients,
-                                        self.ethnic_groups)
-        gp = d.gp_ethnicity(self.observation, self.ethnic_codes, self.ethnic_groups, self.cfg)
+    @cached_property
+    def tables_without_ethnicity(self) -> Tables:
         return Tables(
             patient=self.patient,
             practice=self.practice,
@@ -263,8 +269,13 @@ class Fixture:
             inpatient_diagnosis=self.inpatient,
             outpatient_clinical=self.op_clinical,
             outpatient_appointment=self.op_appointment,
-            ethnicity=d.modal_value(hospital.unionByName(gp), "patid", "HES_ethnic_group", "obsdate"),
+            ethnicity=None,
             codelist=self.codelist,
             icd_lookup=self.icd_codes,
             prodcodes=self.prodcodes,
         )
+
+    @cached_property
+    def tables(self) -> Tables:
+        modal = modal_value(self.ethnicity_records, "patid", "HES_ethnic_group", "obsdate")
+        return replace(self.tables_without_ethnicity, ethnicity=modal)
