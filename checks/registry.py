@@ -293,7 +293,7 @@ def found(f: Fixture) -> DataFrame:
     stays = study.hospital_events(f.tables_without_ethnicity, patients, CFG)
     coded = diagnosis.resolving_events(diagnosis.gp_events(seen, CFG), stays, f.codelist, CFG)
     drugs = study.prescription_spells(f.tables_without_ethnicity, seen, patients, CFG)
-    return spells.resolving_spells(coded, CFG).unionByName(drugs).distinct()
+    return spells.resolving_spells(coded, CFG).unionByName(drugs)
 
 
 @query

@@ -88,40 +88,46 @@ def resolving_wide(spells: DataFrame, cfg: Config) -> DataFrame:
     return rolled_spells(listed, cfg).groupBy("patid", "fyear").agg(*columns)
 
 
-# Per-row bounds that all shares of a panel row have in common.
-BOUNDS = ("lived_from", "lived_to", "new_from", "year_days")
+# Per-row bounds that all shares of a panel row have in common. None is null: a bound or diagnosis that does
+# not exist is a date no year reaches, which spares the wide projections a null check per operation.
+BOUNDS = ("lived_from", "lived_to", "lived_days", "new_from", "year_days")
+NEVER = "date'9999-12-31'"
+BEFORE_ALL = "date'0001-01-01'"
 
 
 def with_bounds(panel: DataFrame) -> DataFrame:
-    ys, ye, reg = F.col("year_start"), F.col("year_end"), F.col("regstartdate")
-    lost = F.coalesce((F.col("death_date") > F.col("censor_date")) & (F.col("death") == 1), F.lit(False))
-    return panel.withColumns(
-        {
-            "lived_from": F.greatest(ys, reg),
-            "lived_to": F.when(~lost, F.least(ye, F.col("censor_date"))),
-            "new_from": F.when(reg < F.add_months(ys, -12), ys),
-            "year_days": dates.days_between(ys, ye),
-        }
+    """Adds the first and last day lived in the year, and the day from which a diagnosis counts as new."""
+    lost = "coalesce(death_date > censor_date and death = 1, false)"
+    dated = panel.selectExpr(
+        "*",
+        f"coalesce(greatest(year_start, regstartdate), {NEVER}) as lived_from",
+        f"coalesce(if({lost}, null, least(year_end, censor_date)), {BEFORE_ALL}) as lived_to",
+        f"coalesce(if(regstartdate < add_months(year_start, -12), year_start, null), {NEVER}) as new_from",
+        "cast(coalesce(datediff(year_end, year_start) + 1, 365) as double) as year_days",
     )
+    return dated.selectExpr("*", "datediff(lived_to, lived_from) + 1 as lived_days")
 
 
-def share_in_bounds(date: str) -> str:
-    """``year_share`` for a row with bounds, short enough for a hundred of them to compile well."""
-    lived = f"datediff(lived_to, greatest({date}, lived_from)) + 1"
-    return f"if({date} <= lived_to, ({lived}) / year_days, 0.0D)"
+def days_in_bounds(date: str) -> str:
+    """Days of the year from the date on that were lived: ``year_share`` before the division."""
+    return f"if({date} > lived_to, 0, if({date} <= lived_from, lived_days, datediff(lived_to, {date}) + 1))"
 
 
 def incident_in_bounds(date: str) -> str:
-    return f"if({date} between new_from and year_end, 1, 0)"
+    return f"if({date} >= new_from and {date} <= year_end, 1, 0)"
+
+
+def _never_null(names: list[str]) -> list[str]:
+    return [f"coalesce({n}, {NEVER}) as {n}" for n in names]
 
 
 def permanent_panel(panel: DataFrame, permanent: DataFrame, cfg: Config) -> DataFrame:
     """Adds prop_ and inc_ columns of the permanent conditions to a panel with bounds."""
     names = [column_name(c) for c in cfg.permanent]
     joined = panel.join(permanent_wide(permanent, cfg), "patid", "left")
-    return joined.selectExpr(
+    return joined.selectExpr(*panel.columns, *_never_null(names)).selectExpr(
         *panel.columns,
-        *[f"{share_in_bounds(c)} as prop_{c}" for c in names],
+        *[f"{days_in_bounds(c)} / year_days as prop_{c}" for c in names],
         *[f"{incident_in_bounds(c)} as inc_{c}" for c in names],
     )
 
@@ -130,9 +136,10 @@ def resolving_panel(panel: DataFrame, spells: DataFrame, cfg: Config) -> DataFra
     """Adds prop_ (diagnosed less in remission) and inc_ columns of the resolving conditions."""
     names = [column_name(c) for c in cfg.resolving]
     joined = panel.join(resolving_wide(spells, cfg), ["patid", "fyear"], "left")
-    return joined.selectExpr(
+    dated = joined.selectExpr(*panel.columns, *_never_null(names), *_never_null([f"rem_{c}" for c in names]))
+    return dated.selectExpr(
         *panel.columns,
-        *[f"{share_in_bounds(c)} - {share_in_bounds(f'rem_{c}')} as prop_{c}" for c in names],
+        *[f"({days_in_bounds(c)} - {days_in_bounds(f'rem_{c}')}) / year_days as prop_{c}" for c in names],
         *[f"{incident_in_bounds(c)} as inc_{c}" for c in names],
     )
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from morbidity.config import ALL_CANCERS, SOURCE_BOTH, Config
+from morbidity.config import ALL_CANCERS, PERMANENT_DAYS, SOURCE_BOTH, Config
 
 KEYS = ("patid", "list_disease_real")
 SPELL = ("patid", "list_disease_real", "diag_date", "remission_date", "disease_duration", "source")
@@ -88,10 +88,35 @@ def all_cancer_spell(cancers: DataFrame, cfg: Config) -> DataFrame:
 
 
 def resolving_spells(events: DataFrame, cfg: Config) -> DataFrame:
-    """Spells of all resolving conditions found in coded records."""
-    other = gap_spells(events.where(F.col("list_disease_real").isin(*cfg.resolving_non_cancer)))
-    cancers = first_cancer_spells(events, cfg)
-    return other.unionByName(cancers).unionByName(all_cancer_spell(cancers, cfg)).select(*SPELL)
+    """Spells of all resolving conditions found in coded records, in one pass over the events.
+
+    A cancer is a spell that never restarts. Its row is then counted under its own name and under all
+    cancers, where the rows of a patient fold into one.
+    """
+    name, cancer = F.col("list_disease_real"), F.col("list_disease_real").isin(*cfg.single_cancers)
+    listed = events.where(name.isin(*cfg.resolving_non_cancer, *cfg.single_cancers))
+    gap = F.when(cancer, F.lit(PERMANENT_DAYS)).otherwise(F.col("disease_duration"))
+    found = gap_spells(listed.withColumn("gap", gap), gap="gap")
+    ends = F.when(cancer, F.date_add("diag_date", cfg.cancer_days)).otherwise(F.col("remission_date"))
+    # (name to count under, what tells its spells apart)
+    own = F.struct(name.alias("name"), F.col("diag_date").alias("spell"))
+    shared = F.struct(F.lit(ALL_CANCERS).alias("name"), F.lit(None).cast("date").alias("spell"))
+    counted = F.when(cancer, F.array(own, shared)).otherwise(F.array(own))
+    first = F.min(F.struct("list_disease_real", "disease_duration", "source")).alias("first")
+    return (
+        found.withColumn("remission_date", ends)
+        .withColumn("under", F.explode(counted))
+        .groupBy("patid", "under")
+        .agg(F.min("diag_date").alias("diag_date"), F.max("remission_date").alias("remission_date"), first)
+        .select(
+            "patid",
+            F.col("under.name").alias("list_disease_real"),
+            "diag_date",
+            "remission_date",
+            F.col("first.disease_duration").alias("disease_duration"),
+            F.col("first.source").alias("source"),
+        )
+    )
 
 
 def merge_close_spells(spells: DataFrame, days: int = 365) -> DataFrame:

@@ -106,10 +106,10 @@ def diagnoses(t: Tables, patients: DataFrame, cfg: Config) -> tuple[DataFrame, D
     permanent = diagnosis.permanent_dx(gp, hospital, t.codelist, cfg)
     found = spells.resolving_spells(diagnosis.resolving_events(gp, hospital, t.codelist, cfg), cfg)
     if cfg.use_prescriptions:
-        found = found.unionByName(prescription_spells(t, observations, patients, cfg)).distinct()
-    if cfg.merge_spells:
-        found = spells.merge_sources(spells.merge_close_spells(found, cfg.merge_days))
-    return permanent, found
+        found = found.unionByName(prescription_spells(t, observations, patients, cfg))
+    if cfg.merge_spells:  # merging drops repeats
+        return permanent, spells.merge_sources(spells.merge_close_spells(found, cfg.merge_days))
+    return permanent, found.distinct()
 
 
 def study_panel(t: Tables, cfg: Config) -> DataFrame:
