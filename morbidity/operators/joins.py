@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 HOT_ROWS = 100_000  # more rows of one key than this are spread over several tasks
 HOT_LIMIT = 1_000  # longest list of hot keys that is fetched; the rest join as usual
 SAMPLE_RATE = 0.01
+PARTS_PER_TASK = 8  # parts of a hot key per shuffle partition: enough that hashing them evens out
 LOOKUP_ROWS = 500_000  # largest table that is broadcast
 
 _seen: dict[tuple, object] = {}
@@ -46,7 +47,7 @@ def spread_join(
     hot = hot_keys(events, key) if hot is None else hot
     if not hot:
         return events.join(other, key, how)
-    parts = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = PARTS_PER_TASK * int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     is_hot = F.col(key).isin(hot)
     part = F.when(is_hot, F.pmod(F.xxhash64(*events.columns), F.lit(parts)).cast("int")).otherwise(F.lit(0))
     copies = F.sequence(F.lit(0), F.when(is_hot, F.lit(parts - 1)).otherwise(F.lit(0)))
