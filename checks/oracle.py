@@ -532,6 +532,8 @@ group by all""",
     "drop_null_columns": "select o_orderkey, o_orderstatus from {orders}",
     "roundtrip_delimited": "select patid, gender, regstartdate, regenddate from patient",
 }
+FINAL["codelist_folder"] = FINAL["load_codelist"]
+FINAL["cohort_folders"] = FINAL["censor_dates"]
 FINAL["written_reports"] = f"{FINAL['score_crude']} union all {FINAL['score_standardised']}"
 
 TABLES = {**SQL, **STEPS}

@@ -487,6 +487,23 @@ def roundtrip_delimited(f: Fixture) -> DataFrame:
     return readers.read_delimited(f.spark, path, schema)
 
 
+@query
+def codelist_folder(f: Fixture) -> DataFrame:
+    """Code lists written as a folder of CSV files, read back as one table."""
+    path = _folder(f, "codes")
+    f.code_file.write.option("header", True).csv(path)
+    schema = "Disease string, MedCodeId long, Descr string, System string"
+    return codelists.load_codelist(readers.read_codelist_dir(f.spark, path, schema))
+
+
+@query
+def cohort_folders(f: Fixture) -> DataFrame:
+    """Patients written in folders by bucket, read back whole."""
+    path = _folder(f, "cohorts")
+    writers.write_table(cohort.with_bucket(eligible(f), 16), path, ["bucket"])
+    return readers.read_table(f.spark, path, eligible(f).columns)
+
+
 @query
 def written_reports(f: Fixture) -> DataFrame:
     """The score reports, written in folders by report and read back."""

@@ -140,7 +140,7 @@ def icd_lookup(clean: DataFrame, grouped_map: DataFrame, codelist: DataFrame) ->
     durations = codelist.select("list_disease_real", F.col("read").alias("disease_duration")).distinct()
     # a right join in two halves, because Spark can neither broadcast nor split the kept side
     coded = lookup_join(codes, durations, "list_disease_real")
-    uncoded = durations.join(codes, "list_disease_real", "left_anti")
+    uncoded = durations.join(codes.select("list_disease_real").distinct(), "list_disease_real", "left_anti")
     out = coded.unionByName(uncoded.withColumn("ICD10code", F.lit(None).cast("string")))
     return out.select("ICD10code", "list_disease_real", "disease_duration")
 

@@ -10,6 +10,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a skewed join even where the split costs one more shuffle of its result
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # the panel's projections are wide: beyond 8,000 bytes the JVM leaves a method to its interpreter, while
+    # Spark's operator-by-operator code for the same plan comes in methods small enough to compile
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
 }
 

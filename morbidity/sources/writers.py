@@ -10,9 +10,15 @@ from pyspark.sql import functions as F
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Parquet, in folders by the given columns. Each task writes one file per folder it holds rows of."""
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    """Parquet, in folders by the given columns.
+
+    Rows of a folder are brought together first, so that a folder gets few files; Spark splits a folder that
+    is too large for one task.
+    """
+    if partition_by:
+        df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
 
 
 def ingest(df: DataFrame, out: str) -> None:
@@ -23,7 +29,7 @@ def ingest(df: DataFrame, out: str) -> None:
 def write_reports(reports: dict[str, DataFrame], path: str) -> None:
     """Report families as one table per family, in folders by report name."""
     for family, report in reports.items():
-        write_table(report.repartition("report"), f"{path}/{family}", ["report"])
+        write_table(report, f"{path}/{family}", ["report"])
 
 
 def read_report(spark: SparkSession, path: str, family: str, report: str) -> DataFrame:
