@@ -341,9 +341,12 @@ def panel_skeleton(f: Fixture) -> DataFrame:
     )
 
 
+def studied(f: Fixture) -> DataFrame:
+    return demographics.patient_table(eligible(f), f.deprivation, f.tables.ethnicity)
+
+
 def weighted(f: Fixture) -> DataFrame:
-    patients = demographics.patient_table(eligible(f), f.deprivation, f.tables.ethnicity)
-    return panel.with_weight(panel.panel_skeleton(patients, CFG))
+    return panel.with_weight(panel.panel_skeleton(studied(f), CFG))
 
 
 @query
@@ -353,16 +356,14 @@ def panel_weight(f: Fixture) -> DataFrame:
 
 @query
 def panel_permanent(f: Fixture) -> DataFrame:
-    base = panel.with_bounds(weighted(f))
     props = [f"prop_{column_name(c)}" for c in CFG.permanent]
-    return rounded(panel.permanent_panel(base, permanent_dx(f), CFG), ["patid", "fyear"], props)
+    return rounded(panel.permanent_panel(studied(f), permanent_dx(f), CFG), ["patid", "fyear"], props)
 
 
 @query
 def panel_resolving(f: Fixture) -> DataFrame:
-    base = panel.with_bounds(weighted(f))
     props = [f"prop_{column_name(c)}" for c in CFG.resolving]
-    return rounded(panel.resolving_panel(base, spell_source(f), CFG), ["patid", "fyear"], props)
+    return rounded(panel.resolving_panel(studied(f), spell_source(f), CFG), ["patid", "fyear"], props)
 
 
 def whole_panel(f: Fixture) -> DataFrame:

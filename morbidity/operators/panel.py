@@ -79,13 +79,19 @@ def rolled_spells(spells: DataFrame, cfg: Config) -> DataFrame:
 
 
 def resolving_wide(spells: DataFrame, cfg: Config) -> DataFrame:
-    """Diagnosis and remission in force per patient and study year, two columns per resolving condition."""
+    """Diagnosis and remission in force per patient: a map from study year to two dates per condition.
+
+    The map has an entry per study year at most. It lets the panel take a year's dates from the patient's own
+    row, so no panel row is ever shuffled to meet them.
+    """
     columns = []
     for c in cfg.resolving:
         columns.append(_earliest("diag_date", c, column_name(c)))
         columns.append(_earliest("remission_date", c, f"rem_{column_name(c)}"))
     listed = spells.where(F.col("list_disease_real").isin(*cfg.resolving))
-    return rolled_spells(listed, cfg).groupBy("patid", "fyear").agg(*columns)
+    yearly = rolled_spells(listed, cfg).groupBy("patid", "fyear").agg(*columns)
+    entry = F.struct("fyear", F.struct(*[c for c in yearly.columns if c not in ("patid", "fyear")]))
+    return yearly.groupBy("patid").agg(F.map_from_entries(F.collect_list(entry)).alias("in_force"))
 
 
 # Per-row bounds that all shares of a panel row have in common. None is null: a bound or diagnosis that does
@@ -117,31 +123,56 @@ def incident_in_bounds(date: str) -> str:
     return f"if({date} >= new_from and {date} <= year_end, 1, 0)"
 
 
-def _never_null(names: list[str]) -> list[str]:
-    return [f"coalesce({n}, {NEVER}) as {n}" for n in names]
-
-
-def permanent_panel(panel: DataFrame, permanent: DataFrame, cfg: Config) -> DataFrame:
-    """Adds prop_ and inc_ columns of the permanent conditions to a panel with bounds."""
+def _permanent_columns(cfg: Config) -> list[str]:
     names = [column_name(c) for c in cfg.permanent]
-    joined = panel.join(permanent_wide(permanent, cfg), "patid", "left")
-    return joined.selectExpr(*panel.columns, *_never_null(names)).selectExpr(
-        *panel.columns,
-        *[f"{days_in_bounds(c)} / year_days as prop_{c}" for c in names],
-        *[f"{incident_in_bounds(c)} as inc_{c}" for c in names],
-    )
+    shares = [f"{days_in_bounds(c)} / year_days as prop_{c}" for c in names]
+    return shares + [f"{incident_in_bounds(c)} as inc_{c}" for c in names]
 
 
-def resolving_panel(panel: DataFrame, spells: DataFrame, cfg: Config) -> DataFrame:
-    """Adds prop_ (diagnosed less in remission) and inc_ columns of the resolving conditions."""
+def _resolving_columns(cfg: Config) -> list[str]:
+    """Diagnosed less in remission; new cases."""
     names = [column_name(c) for c in cfg.resolving]
-    joined = panel.join(resolving_wide(spells, cfg), ["patid", "fyear"], "left")
-    dated = joined.selectExpr(*panel.columns, *_never_null(names), *_never_null([f"rem_{c}" for c in names]))
-    return dated.selectExpr(
-        *panel.columns,
-        *[f"({days_in_bounds(c)} - {days_in_bounds(f'rem_{c}')}) / year_days as prop_{c}" for c in names],
-        *[f"{incident_in_bounds(c)} as inc_{c}" for c in names],
-    )
+    shares = [f"({days_in_bounds(c)} - {days_in_bounds(f'rem_{c}')}) / year_days as prop_{c}" for c in names]
+    return shares + [f"{incident_in_bounds(c)} as inc_{c}" for c in names]
+
+
+def _years(dated: DataFrame, cfg: Config) -> DataFrame:
+    """Panel rows with bounds, of patients that already carry their diagnoses."""
+    return with_bounds(with_weight(panel_skeleton(dated, cfg)))
+
+
+def _with_permanent(patients: DataFrame, permanent: DataFrame, cfg: Config) -> DataFrame:
+    return patients.join(permanent_wide(permanent, cfg), "patid", "left")
+
+
+def _with_resolving(patients: DataFrame, spells: DataFrame, cfg: Config) -> DataFrame:
+    return patients.join(resolving_wide(spells, cfg), "patid", "left")
+
+
+def _dates_of_year(rows: DataFrame, permanent: bool, resolving: bool, cfg: Config) -> DataFrame:
+    """Replaces the diagnoses a patient carries by the dates that count in the row's year, none of them null."""
+    own = {column_name(c): column_name(c) for c in cfg.permanent} if permanent else {}
+    kept = [c for c in rows.columns if c not in own and c != "in_force"]
+    if resolving:
+        rows = rows.selectExpr(*kept, *own, "try_element_at(in_force, fyear) as now")
+        for c in cfg.resolving:
+            for name in (column_name(c), f"rem_{column_name(c)}"):
+                own[name] = f"now.{name}"
+    return rows.selectExpr(*kept, *[f"coalesce({date}, {NEVER}) as {name}" for name, date in own.items()])
+
+
+def permanent_panel(patients: DataFrame, permanent: DataFrame, cfg: Config) -> DataFrame:
+    """Panel rows with prop_ and inc_ columns of the permanent conditions."""
+    rows = _years(_with_permanent(patients, permanent, cfg), cfg)
+    kept = [*patients.columns, "fyear", "year_start", "year_end", "death", "weight"]
+    return _dates_of_year(rows, True, False, cfg).selectExpr(*kept, *_permanent_columns(cfg))
+
+
+def resolving_panel(patients: DataFrame, spells: DataFrame, cfg: Config) -> DataFrame:
+    """Panel rows with prop_ and inc_ columns of the resolving conditions."""
+    rows = _years(_with_resolving(patients, spells, cfg), cfg)
+    kept = [*patients.columns, "fyear", "year_start", "year_end", "death", "weight"]
+    return _dates_of_year(rows, False, True, cfg).selectExpr(*kept, *_resolving_columns(cfg))
 
 
 FIRST_COLUMNS = (
@@ -155,10 +186,10 @@ def assemble_panel(patients: DataFrame, permanent: DataFrame, spells: DataFrame,
 
     ``patients`` is the patient table, one row per patient.
     """
-    carried = [c for c in FIRST_COLUMNS if c in patients.columns]
-    base = with_bounds(with_weight(panel_skeleton(patients.select(*carried), cfg)))
-    # years first: that join sorts by (patient, year), which also serves the join by patient
-    full = permanent_panel(resolving_panel(base, spells, cfg), permanent, cfg)
+    carried = patients.select(*[c for c in FIRST_COLUMNS if c in patients.columns])
+    dated = _with_resolving(_with_permanent(carried, permanent, cfg), spells, cfg)
+    rows = _dates_of_year(_years(dated, cfg), True, True, cfg)
+    first = [c for c in FIRST_COLUMNS if c in rows.columns]
+    full = rows.selectExpr(*first, *_permanent_columns(cfg), *_resolving_columns(cfg))
     names = cfg.condition_columns
-    first = [c for c in FIRST_COLUMNS if c in full.columns]
     return full.select(*first, *[f"prop_{c}" for c in names], *[f"inc_{c}" for c in names])

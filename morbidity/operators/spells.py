@@ -102,20 +102,16 @@ def resolving_spells(events: DataFrame, cfg: Config) -> DataFrame:
     own = F.struct(name.alias("name"), F.col("diag_date").alias("spell"))
     shared = F.struct(F.lit(ALL_CANCERS).alias("name"), F.lit(None).cast("date").alias("spell"))
     counted = F.when(cancer, F.array(own, shared)).otherwise(F.array(own))
-    first = F.min(F.struct("list_disease_real", "disease_duration", "source")).alias("first")
+    first = F.min(F.struct("name", "disease_duration", "source")).alias("first")
     return (
         found.withColumn("remission_date", ends)
         .withColumn("under", F.explode(counted))
-        .groupBy("patid", "under")
+        .withColumnsRenamed({"list_disease_real": "name"})
+        .withColumns({"list_disease_real": F.col("under.name"), "spell": F.col("under.spell")})
+        .repartition(*KEYS)  # also what the merging of close spells needs
+        .groupBy(*KEYS, "spell")
         .agg(F.min("diag_date").alias("diag_date"), F.max("remission_date").alias("remission_date"), first)
-        .select(
-            "patid",
-            F.col("under.name").alias("list_disease_real"),
-            "diag_date",
-            "remission_date",
-            F.col("first.disease_duration").alias("disease_duration"),
-            F.col("first.source").alias("source"),
-        )
+        .select(*KEYS, "diag_date", "remission_date", "first.disease_duration", "first.source")
     )
 
 
