@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from morbidity.llm.decontaminate import op2_decontamination
+from morbidity.llm.lang_id import op8_language_id
 from morbidity.llm.token_count import op1_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
+    "op8_language_id": op8_language_id,
 }
 
 ORACLE: dict[str, str] = {}
