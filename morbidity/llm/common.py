@@ -33,23 +33,16 @@ def n_bytes(text):
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
 
 
-def digest_of(ids: list) -> str:
-    """Lower-case hex SHA-256 of ids, sorted as strings and joined by commas."""
-    import hashlib
-
-    return hashlib.sha256(",".join(sorted(map(str, ids))).encode()).hexdigest()
-
-
-def by_batch(make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]):
+def by_batch(make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], most: float = 8e6):
     """For mapInArrow: ``make`` runs once per task, what it returns once per batch.
 
-    A batch of many long texts is cut into slices of some 8 MB, so that a task's memory doesn't grow with them.
+    A batch of many long texts is cut into slices of some ``most`` bytes, so that a task's memory doesn't grow with them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            rows = max(1, min(batch.num_rows, int(batch.num_rows * 8e6 / max(1, batch.nbytes))))
+            rows = max(1, min(batch.num_rows, int(batch.num_rows * most / max(1, batch.nbytes))))
             for at in range(0, batch.num_rows, rows):
                 yield work(batch.slice(at, rows))
 
