@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from morbidity.llm.decontaminate import op2_decontamination
 from morbidity.llm.jaccard_join import op3_jaccard_join
 from morbidity.llm.lang_id import op8_language_id
+from morbidity.llm.shard import op6_sharding
 from morbidity.llm.token_count import op1_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
     "op3_jaccard_join": op3_jaccard_join,
+    "op6_sharding": op6_sharding,
     "op8_language_id": op8_language_id,
 }
 
