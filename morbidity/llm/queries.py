@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from morbidity.llm.decontaminate import op2_decontamination
 from morbidity.llm.jaccard_join import op3_jaccard_join
 from morbidity.llm.lang_id import op8_language_id
+from morbidity.llm.mix import OP7_SQL, op7_source_mix
 from morbidity.llm.shard import op6_sharding
 from morbidity.llm.token_count import op1_token_counts
 
@@ -17,7 +18,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_jaccard_join": op3_jaccard_join,
     "op6_sharding": op6_sharding,
+    "op7_source_mix": op7_source_mix,
     "op8_language_id": op8_language_id,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_source_mix": OP7_SQL,
+}
