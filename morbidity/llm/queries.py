@@ -11,6 +11,7 @@ from morbidity.llm.jaccard_join import op3_jaccard_join
 from morbidity.llm.lang_id import op8_language_id
 from morbidity.llm.mix import OP7_SQL, op7_source_mix
 from morbidity.llm.quality import OP9_SQL, op9_quality_rules
+from morbidity.llm.secrets import op10_secret_scan
 from morbidity.llm.shard import op6_sharding
 from morbidity.llm.token_count import op1_token_counts
 
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_source_mix": op7_source_mix,
     "op8_language_id": op8_language_id,
     "op9_quality_rules": op9_quality_rules,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLE: dict[str, str] = {
