@@ -14,11 +14,13 @@ from morbidity.llm.quality import OP9_SQL, op9_quality_rules
 from morbidity.llm.secrets import op10_secret_scan
 from morbidity.llm.shard import op6_sharding
 from morbidity.llm.token_count import op1_token_counts
+from morbidity.llm.warc import OP4_SQL, op4_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_warc": op4_warc,
     "op6_sharding": op6_sharding,
     "op7_source_mix": op7_source_mix,
     "op8_language_id": op8_language_id,
@@ -27,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op4_warc": OP4_SQL,
     "op7_source_mix": OP7_SQL,
     "op9_quality_rules": OP9_SQL,
 }
