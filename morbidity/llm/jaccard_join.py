@@ -39,7 +39,8 @@ PERCENT = 90  # links need this share of common shingles
 CELL_SETS = 1024  # sets joined in one task, if their shingles are few enough
 CELL_SHINGLES = 2_000_000
 PIVOTS = 6
-SLICE = 2e6
+FILTER_BITS = 1 << 25
+SLICE = 1e6
 
 
 def rings(percent: int, largest: int) -> list[int]:
@@ -129,6 +130,30 @@ def _clusters(hashed: DataFrame) -> DataFrame:
     return components(edges).select(F.col("node").alias("h"), F.col("root").alias("cell"))
 
 
+def _passing(rows: DataFrame, near: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """Rows (rk, t) that may be among ``near``, so that few texts are shuffled to find out.
+
+    The filter has one bit for each of ``bits`` hash values of ``rk``, whatever the input's size; where very many are set,
+    it lets more rows through, and the join that follows still finds the right ones.
+    """
+    place = F.pmod(F.xxhash64("rk", F.lit(4)), F.lit(bits)) + 1
+    filled = near.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
+    whole = np.zeros(bits // 8, np.uint8)
+    for r in filled.collect():
+        part = np.frombuffer(bytes(r.bits), np.uint8)
+        whole[(r.bucket - 1) * len(part) : r.bucket * len(part)] = part
+
+    def start():
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            p = batch.column(2).to_numpy() - 1
+            passes = (whole[p >> 3] >> (p & 7).astype(np.uint8)) & 1
+            return batch.filter(pa.array(passes.astype(bool))).select(["rk", "t"])
+
+        return work
+
+    return rows.withColumn("p", place).mapInArrow(by_batch(start), rows.schema)
+
+
 def _distances(pairs: DataFrame) -> DataFrame:
     """Adds the Jaccard distance of ``set`` and ``pivot_set`` and drops the latter."""
     kept = pairs.drop("pivot_set")
@@ -150,16 +175,15 @@ def _distances(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(by_batch(start, SLICE), out)
 
 
-def _with_size(cells: DataFrame) -> DataFrame:
-    """Adds the number of sets of each cell, and how many a task takes at once."""
-    room = F.greatest(F.lit(8), F.least(F.lit(CELL_SETS), F.floor(F.lit(CELL_SHINGLES) / F.max("n"))))
-    return cells.drop("sets", "room").join(cells.groupBy("cell").agg(F.count("*").alias("sets"), room.alias("room")), "cell")
+def _room():
+    """How many sets of a cell a task takes at once."""
+    return F.greatest(F.lit(8), F.least(F.lit(CELL_SETS), F.floor(F.lit(CELL_SHINGLES) / F.max("n"))))
 
 
-def _divide(cells: DataFrame, percent: int) -> DataFrame:
-    """Cells (cell, h, h2, n, set) of which each fits one task, from cells of any size."""
+def _divide(sized: DataFrame, percent: int) -> DataFrame:
+    """Cells (cell, h, h2, n, set) of which each fits one task, from cells of any size with their ``sets`` and ``room``."""
     columns = ["cell", "h", "h2", "n", "set"]
-    sized = stage(_with_size(cells), "cells")
+    sized = stage(sized, "cells")
     small, big = sized.where("sets <= room").select(columns), sized.where("sets > room")
     while not big.isEmpty():
         order = F.xxhash64("h", "h2", "cell")
@@ -175,7 +199,8 @@ def _divide(cells: DataFrame, percent: int) -> DataFrame:
         worth = stage(work.where("work < 0.6 * sets * sets").select("cell"), "worth")
         small = small.unionByName(_blocks(big.join(worth, "cell", "left_anti")).select(columns))
         divided = placed.join(worth, "cell", "left_semi").withColumn("cell", F.xxhash64("cell", "pivot")).select(columns)
-        sized = stage(_with_size(divided), "cells")
+        divided = stage(divided, "divided")
+        sized = divided.join(divided.groupBy("cell").agg(F.count("*").alias("sets"), _room().alias("room")), "cell")
         small, big = small.unionByName(sized.where("sets <= room").select(columns)), sized.where("sets > room")
     return small
 
@@ -251,6 +276,25 @@ def _links(cells: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "a struct<h:long,h2:long>, b struct<h:long,h2:long>")
 
 
+def _classes(rows: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """For rows (key, rk, t), where key orders rows and rk names them: (key, rk, n, h, h2) of each, and (h, h2, low) of each set, the
+    smallest key of its class."""
+    ids = rows.select(F.struct("key", "rk").alias("key"), "t")
+    hashed = stage(_hashed(ids, words, percent), "hashed")
+    alike = hashed.where("n > 0").groupBy("h", "h2").agg(F.min("key.key").alias("low"), F.min("key.rk").alias("rk"), F.first("n").alias("n"))
+    alike = stage(alike, "alike")
+    cells = _clusters(hashed)
+    near = stage(alike.select("h", "h2", "n", "rk").join(cells, "h"), "near")
+    again = _passing(rows.select("rk", "t"), near).join(near.select("rk"), "rk", "left_semi")
+    sets = _sets(again.select(F.col("rk").alias("key"), "t"), words).drop("n").dropDuplicates(["h", "h2"])
+    sizes = near.groupBy("cell").agg(F.count("*").alias("sets"), _room().alias("room"))
+    placed = near.drop("rk").join(sizes, "cell").join(sets, ["h", "h2"])
+    classes = components(_links(_divide(placed, percent), percent))
+    named = alike.withColumn("node", F.struct("h", "h2")).join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    smallest = named.groupBy("root").agg(F.min("low").alias("low"))
+    return hashed.select("key.key", "key.rk", "n", "h", "h2"), named.drop("low").join(smallest, "root").select("h", "h2", "low")
+
+
 def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row; ``component_id`` is the smallest id reachable by links.
 
@@ -259,29 +303,32 @@ def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     class. Rows that repeat stay, each with its class. A null id stays null, and never names a class that has an id.
     """
     rows = docs.select(F.col(doc_id).alias("key"), F.xxhash64(text, doc_id).alias("rk"), F.col(text).alias("t"))
-    ids = rows.select(F.struct("key", "rk").alias("key"), "t")
-    hashed = stage(_hashed(ids, words, percent), "hashed")
-    alike = hashed.where("n > 0").groupBy("h", "h2").agg(F.min("key.key").alias("low"), F.min("key.rk").alias("rk"), F.first("n").alias("n"))
-    alike = stage(alike, "alike")
-    cells = _clusters(hashed)
-    near = stage(alike.select("h", "h2", "rk").join(cells, "h"), "near")
-    again = rows.join(near.select("rk").distinct(), "rk", "left_semi").select(F.struct("key", "rk").alias("key"), "t")
-    sets = _sets(again, words).dropDuplicates(["h", "h2"])
-    placed = near.select("h", "h2", "cell").join(sets, ["h", "h2"])
-    classes = components(_links(_divide(placed, percent), percent))
-    named = alike.withColumn("node", F.struct("h", "h2")).join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    of = named.join(smallest, "root").select("h", "h2", "component_id")
-    return (
-        hashed.select("key.key", "n", "h", "h2")
-        .join(of, ["h", "h2"], "left")
-        .select(
-            F.col("key").alias(doc_id),
-            F.col("n").alias("n_shingles"),
-            F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key")).alias("component_id"),
-        )
+    hashed, lows = _classes(rows, words, percent)
+    return hashed.join(lows, ["h", "h2"], "left").select(
+        F.col("key").alias(doc_id),
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("key")).alias("component_id"),
     )
 
 
+def jaccard_keepers(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row of each class, with all its columns: that with the smallest id (null ids last), then the smallest text hash.
+
+    Rows with empty sets are classes of their own and stay. Of rows equal in id and text one stays.
+    """
+    name = F.xxhash64(text, doc_id)
+    order = F.struct(F.col(doc_id).isNull().alias("x"), F.col(doc_id).alias("id"), name.alias("rk"))
+    rows = docs.select(order.alias("key"), name.alias("rk"), F.col(text).alias("t"))
+    hashed, lows = _classes(rows, words, percent)
+    placed = hashed.join(lows, ["h", "h2"], "left")
+    # rows to drop, and those that are there more than once; the others need no partner
+    drop = (F.col("n") > 0) & (F.col("rk") != F.col("low.rk"))
+    marks = placed.groupBy(F.col("rk").alias("__mark")).agg(F.max(drop).alias("__drop"), F.count("*").alias("__times"))
+    marks = marks.where("__drop or __times > 1")
+    marked = docs.withColumn("__rk", name).join(marks, F.col("__rk") == F.col("__mark"), "left")
+    once = marked.where("__mark is null").select(docs.columns)
+    return once.union(marked.where("not __drop").dropDuplicates(["__rk"]).select(docs.columns))
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents", "doc_id", "text"))
