@@ -71,8 +71,8 @@ def mix_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     sized = quality_of(docs.select(F.col("doc_id"), "source", n_words().alias("size"), _rid().alias("rid")), labels)
     taken = mix_rows(sized.drop("doc_id")).where("taken > 0")
-    times = taken.groupBy("rid").agg(F.max(F.expr("taken div size")).cast("int").alias("__times"))
-    kept = docs.withColumn("__rid", _rid()).join(times, F.col("__rid") == F.col("rid"))
+    times = taken.groupBy(F.col("rid").alias("__taken")).agg(F.max(F.expr("taken div size")).cast("int").alias("__times"))
+    kept = docs.withColumn("__rid", _rid()).join(times, F.col("__rid") == F.col("__taken"))
     copies = kept.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
     return copies.select(*docs.columns)
 
