@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 from datetime import date
 
@@ -113,12 +114,15 @@ PREVALENCE_STANDARD_REPORTS = {
     "prev_cond_stan_age_year": ("agecat",),
     "prev_cond_stan_imd_year": ("imd_deciles", "imd2015_decile"),
 }
+# names of drug list files, and the part of them that names the list
+DRUG_LIST_GLOB = "*_PC_V1-1_*"
+DRUG_LIST_TAG = r"CPRDCAM_(.{6})"
 # ------------------------------------------------------------- end of fixed values
 
 
 def column_name(condition: str) -> str:
-    """Column stem of a condition: "Heart failure" -> "heart_failure"."""
-    return condition.lower().replace(" ", "_")
+    """Column stem of a condition: "Heart failure" -> "heart_failure"; what can't stand in a name becomes "_" too."""
+    return re.sub(r"\W", "_", condition.lower())
 
 
 @dataclass(frozen=True)

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from morbidity.config import Config
-from morbidity.operators.joins import spread_join
 
 
 def clean_observation_dates(obs: DataFrame, cfg: Config) -> DataFrame:
@@ -24,7 +23,7 @@ def clean_birth_year(obs: DataFrame, patients: DataFrame) -> DataFrame:
     """
     seen, entered, yob = F.col("obsdate"), F.col("enterdate"), F.col("yob")
     date = F.when(F.year(seen) >= yob, seen).when(F.year(entered) >= yob, entered)
-    joined = spread_join(obs, patients.select("patid", "yob"), "patid")
+    joined = obs.join(patients.select("patid", "yob"), "patid")
     return joined.withColumn("obsdate", date).where(F.col("obsdate").isNotNull())
 
 

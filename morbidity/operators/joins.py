@@ -1,75 +1,20 @@
-"""Joins that hold up when one key carries a large part of all rows."""
+"""Joins to code tables and to the cohort.
+
+They are plain equi-joins. Spark broadcasts a side by its estimated bytes, and its adaptive skew join deals out the rows of a
+hot key by the map tasks they came from, equal rows included; ``session.tuned`` switches that on. Nothing is asked of
+the data while a plan is built.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-HOT_ROWS = 100_000  # more rows of one key than this are spread over several tasks
-HOT_LIMIT = 1_000  # longest list of hot keys that is fetched; the rest join as usual
-SAMPLE_RATE = 0.01
-PARTS_PER_TASK = 8  # parts of a hot key per shuffle partition: enough that hashing them evens out
-LOOKUP_ROWS = 500_000  # largest table that is broadcast
-
-_seen: dict[tuple, object] = {}
-
-
-def _once(df: DataFrame, question: str, ask):
-    """Answer a question about a table once per session. Answers steer the plan, never the result."""
-    asked = (df.sparkSession.sparkContext.applicationId, question, df.semanticHash())
-    if asked not in _seen:
-        _seen[asked] = ask()
-    return _seen[asked]
-
-
-def hot_keys(events: DataFrame, key: str, rows: int = HOT_ROWS, rate: float = SAMPLE_RATE) -> list:
-    """Keys estimated to hold at least ``rows`` rows, largest first, at most HOT_LIMIT of them.
-
-    Runs a job that reads the key column alone and counts a sample of it. The list steers only where rows
-    are sent, never which rows there are, so an estimate will do; it is fetched once so that both sides of
-    a join use the same one.
-    """
-    keys = events.select(key).where(F.col(key).isNotNull())
-    seen = keys.sample(rate, seed=11).groupBy(key).count().where(F.col("count") >= rows * rate)
-    top = seen.orderBy(F.desc("count")).limit(HOT_LIMIT)
-    return _once(keys, f"hot {rows} {rate}", lambda: [r[0] for r in top.collect()])
-
-
-def spread_join(
-    events: DataFrame, other: DataFrame, key: str, how: str = "inner", hot: list | None = None
-) -> DataFrame:
-    """Equi-join to a table with few rows per key, in which the events of hot keys are spread over all tasks.
-
-    Without hot keys this is an ordinary join. With them, their events get a part number from a hash of
-    the row (the same again when a lost task is rerun) and the matching rows of ``other`` are repeated
-    once per part. ``how`` is inner, left or left_semi. Looks for hot keys itself unless given them.
-    """
-    hot = hot_keys(events, key) if hot is None else hot
-    if not hot:
-        return events.join(other, key, how)
-    parts = PARTS_PER_TASK * int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    is_hot = F.col(key).isin(hot)
-    part = F.when(is_hot, F.pmod(F.xxhash64(*events.columns), F.lit(parts)).cast("int")).otherwise(F.lit(0))
-    copies = F.sequence(F.lit(0), F.when(is_hot, F.lit(parts - 1)).otherwise(F.lit(0)))
-    left = events.withColumn("join_part", part)
-    right = other.withColumn("join_part", F.explode(copies))
-    return left.join(right, [key, "join_part"], how).drop("join_part")
-
-
-def is_lookup(df: DataFrame, max_rows: int = LOOKUP_ROWS) -> bool:
-    """Whether the table has at most ``max_rows`` rows. Runs a job that stops at the bound."""
-    return _once(df, f"lookup {max_rows}", lambda: df.limit(max_rows + 1).count() <= max_rows)
 
 
-def lookup_join(
-    events: DataFrame, table: DataFrame, key: str, how: str = "inner", max_rows: int = LOOKUP_ROWS
-) -> DataFrame:
-    """Join to a code table: broadcast after its rows have been counted, spread over tasks beyond the bound."""
-    if is_lookup(table, max_rows):
-        return events.join(F.broadcast(table), key, how)
-    return spread_join(events, table, key, how)
+def lookup_join(events: DataFrame, table: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join events to a code table. A missing key never matches."""
+    return events.join(table, key, how)
 
 
 def restrict_to(events: DataFrame, patients: DataFrame) -> DataFrame:
     """Rows of listed patients only."""
-    return spread_join(events, patients.select("patid").distinct(), "patid", "left_semi")
+    return events.join(patients.select("patid"), "patid", "left_semi")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from morbidity.config import Config
+from morbidity.config import DRUG_LIST_GLOB, DRUG_LIST_TAG, Config
 
 
 def read_table(
@@ -17,32 +20,112 @@ def read_table(
     return df.select(*cols) if cols else df
 
 
+def _fields(schema: str) -> list[tuple[str, str]]:
+    return [tuple(part.split()) for part in schema.split(", ")]
+
+
+def raw_text(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
+    """Delimited text as it is: one string column for each name of the header line.
+
+    The header is read once; each further file under ``path`` must have the same, or its read fails.
+    """
+    reader = spark.read.option("sep", sep).option("header", True)
+    names = reader.csv(path).columns
+    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return reader.schema(text).option("enforceSchema", False).csv(path)
+
+
+def _parsed(name: str, kind: str, date_format: str) -> Column:
+    c = F.col(f"`{name}`")
+    if kind == "string":
+        return c
+    blank = F.trim(c) == ""
+    if kind == "date":
+        return F.when(~blank, F.to_date(F.try_to_timestamp(F.trim(c), F.lit(date_format))))
+    return F.when(~blank, F.trim(c).try_cast(kind))
+
+
+def typed(raw: DataFrame, schema: str, prefix: str = "", optional: tuple[str, ...] = (), date_format: str = "dd/MM/yyyy") -> DataFrame:
+    """The columns of ``schema``, found in ``raw`` by name, in given types.
+
+    A name may carry ``prefix`` in the file; other columns are left out; a missing one is an error unless it is optional, and then null. Text
+    that does not parse becomes null: ``unparsed`` counts it.
+    """
+    there = {c.removeprefix(prefix): c for c in reversed(raw.columns)}
+    fields = _fields(schema)
+    missing = [n for n, _ in fields if n not in there and n not in optional]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} among {', '.join(raw.columns)}")
+    return raw.select(
+        *[(_parsed(there[n], kind, date_format) if n in there else F.lit(None).cast(kind)).alias(n) for n, kind in fields]
+    )
+
+
+def unparsed(raw: DataFrame, schema: str, prefix: str = "", date_format: str = "dd/MM/yyyy") -> DataFrame:
+    """(column, n): filled fields of each column of ``schema`` that don't parse. One pass, one row for each column."""
+    there = {c.removeprefix(prefix): c for c in reversed(raw.columns)}
+    kept = [(n, kind) for n, kind in _fields(schema) if n in there]
+
+    def bad(n: str, kind: str) -> Column:
+        c = F.col(f"`{there[n]}`")
+        return F.count_if(_parsed(there[n], kind, date_format).isNull() & (F.trim(c) != ""))
+
+    counts = raw.agg(*[bad(n, kind).alias(n) for n, kind in kept])
+    pairs = F.array(*[F.struct(F.lit(n).alias("column"), F.col(n).alias("n")) for n, _ in kept])
+    return counts.select(F.inline(pairs))
+
+
 def read_delimited(
-    spark: SparkSession, path: str, schema: str, sep: str = "\t", date_format: str = "dd/MM/yyyy"
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    sep: str = "\t",
+    date_format: str = "dd/MM/yyyy",
+    prefix: str = "",
+    optional: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Delimited text with a header line, in given types."""
-    reader = spark.read.schema(schema).option("sep", sep).option("header", True)
-    return reader.option("dateFormat", date_format).option("enforceSchema", True).csv(path)
+    """Delimited text with a header line, columns taken by name (see ``typed``)."""
+    return typed(raw_text(spark, path, sep), schema, prefix, optional, date_format)
 
 
-def read_codelist_dir(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """All CSV files directly in a folder, as one table; sub-folders are not read."""
-    reader = spark.read.schema(schema).option("header", True).option("pathGlobFilter", "*.csv")
-    return reader.option("recursiveFileLookup", False).csv(path)
+def _files(spark: SparkSession, path: str, glob: str) -> list[str]:
+    """Files directly in a folder. For folders of lists, which hold a few dozen."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", False).load(path)
+    return sorted(r.path for r in files.select("path").collect())
+
+
+def _united(parts: list[DataFrame], spark: SparkSession, schema: str) -> DataFrame:
+    if not parts:
+        return spark.createDataFrame([], schema)
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
+def read_codelist_dir(spark: SparkSession, path: str, schema: str, optional: tuple[str, ...] = ()) -> DataFrame:
+    """All CSV files directly in a folder, as one table; sub-folders are not read.
+
+    The files may differ in the order and number of their columns: each is read by its own header.
+    """
+    parts = [read_delimited(spark, file, schema, ",", optional=optional) for file in _files(spark, path, "*.csv")]
+    return _united(parts, spark, schema)
 
 
 def read_tagged_dir(
     spark: SparkSession,
     path: str,
     schema: str,
-    pattern: str = r"CPRDCAM_(.{6})",
-    glob: str = "*_PC_V1-1_*",
+    pattern: str = DRUG_LIST_TAG,
+    glob: str = DRUG_LIST_GLOB,
     sep: str = ",",
 ) -> DataFrame:
-    """Files of a folder as one table, each row tagged (``cond``) with a part of its file's name."""
-    reader = spark.read.schema(schema).option("header", True).option("sep", sep).option("pathGlobFilter", glob)
-    tag = F.regexp_extract(F.col("_metadata.file_name"), pattern, 1)
-    return reader.csv(path).select(tag.alias("cond"), "*")
+    """Files of a folder as one table, each row tagged (``cond``) with a part of its file's name; each file read by its own header."""
+    parts = []
+    for file in _files(spark, path, glob):
+        tag = re.search(pattern, file.rsplit("/", 1)[-1])
+        parts.append(read_delimited(spark, file, schema, sep).select(F.lit(tag[1] if tag else "").alias("cond"), "*"))
+    return _united(parts, spark, f"cond string, {schema}")
 
 
 def drop_all_null_columns(df: DataFrame) -> DataFrame:
@@ -63,9 +146,7 @@ def snake_case(df: DataFrame) -> DataFrame:
 
 def clean_disease_map(raw: DataFrame, cfg: Config) -> DataFrame:
     """The disease map: underscored names, one label corrected, and whether the condition is studied."""
-    kept = raw.select(*[f"`{c}`" for c in raw.columns[:8]]).withColumnsRenamed(
-        {"Disease (REAL)": "list_disease_real"}
-    )
+    kept = raw.withColumnsRenamed({"Disease (REAL)": "list_disease_real"})
     name = F.col("list_disease_real")
     fixed = F.when(name == "Atrial fibrilation", F.lit("Atrial fibrillation")).otherwise(name)
     return kept.withColumns(

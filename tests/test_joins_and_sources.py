@@ -19,40 +19,28 @@ def skewed(spark):
     return events, people
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
-def test_spread_join_equals_a_join(skewed, how):
-    events, people = skewed
-    plain = events.join(people, "patid", how)
-    spread = joins.spread_join(events, people, "patid", how, hot=[1, 2, 650])
-    assert sorted(map(tuple, spread.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
-    assert spread.columns == plain.columns
-
-
-def test_spread_join_spreads_the_hot_key(spark, skewed):
-    events, people = skewed
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+@pytest.mark.parametrize("how", ["inner", "left_semi"])
+def test_equal_rows_of_a_hot_key_are_split(spark, how):
+    """The adaptive skew join deals a hot patient's rows, all equal, to several tasks."""
+    lowered = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    }
+    before = {k: spark.conf.get(k, None) for k in lowered}
+    for k, v in lowered.items():
+        spark.conf.set(k, v)
     try:
-        out = joins.spread_join(events, people, "patid", hot=[1]).where("patid = 1")
-        assert out.select(F.spark_partition_id()).distinct().count() == 4
+        hot = spark.range(0, 30_000, 1, 8).select(F.lit(1).cast("long").alias("patid"))
+        events = hot.union(spark.range(2, 60, 1, 2).toDF("patid"))
+        out = joins.lookup_join(events, spark.range(50).toDF("patid"), "patid", how)
+        tasks = out.where("patid = 1").groupBy(F.spark_partition_id()).count().collect()
+        assert len(tasks) > 1 and sum(r["count"] for r in tasks) == 30_000
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-
-
-def test_hot_keys_are_found(skewed):
-    events, _ = skewed
-    assert joins.hot_keys(events, "patid", rows=1000, rate=0.5) == [1]
-    assert joins.hot_keys(events, "patid") == []
-
-
-def test_lookup_join_beyond_the_bound(skewed):
-    events, people = skewed
-    small = joins.lookup_join(events, people, "patid")
-    large = joins.lookup_join(events, people, "patid", max_rows=10)
-    hints = [df._jdf.queryExecution().optimizedPlan().toString().count("strategy=broadcast") for df in (small, large)]
-    assert hints == [1, 0]
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_restrict_to(skewed, rows):
@@ -84,9 +72,36 @@ def test_codelist_folder_skips_subfolders(spark, tmp_path, rows):
     assert rows(out, "disease", "medcodeid", "descr") == [("A", 1, "x"), ("B", 2, "x, y")]
 
 
+def test_columns_are_taken_by_name(spark, tmp_path, rows):
+    _write(tmp_path / "d", "imd.txt", "e_pracid\te_patid\tnote\timd2015_decile\n900\t1\tx\t3\n901\t2\t\tabc\n")
+    raw = readers.raw_text(spark, str(tmp_path / "d"))
+    assert rows(readers.typed(raw, schemas.DEPRIVATION, prefix="e_")) == [(1, 3), (2, None)]
+    assert rows(readers.unparsed(raw, schemas.DEPRIVATION, prefix="e_")) == [("imd2015_decile", 1), ("patid", 0)]
+    with pytest.raises(ValueError, match="patid"):
+        readers.typed(raw, schemas.DEPRIVATION)
+    assert rows(readers.typed(raw, "x date, e_patid long", optional=("x",))) == [(None, 1), (None, 2)]
+
+
+def test_codelist_files_of_differing_columns(spark, tmp_path, rows):
+    _write(tmp_path, "a.csv", "descr,system,disease,medcodeid\nx,Cancers,A,1\n")
+    _write(tmp_path, "b.csv", "medcodeid,extra,disease,descr\n2,z,B,y\n")
+    out = readers.read_codelist_dir(spark, str(tmp_path), schemas.MEDCODE_LIST, optional=("system",))
+    assert rows(out) == [("A", 1, "x", "Cancers"), ("B", 2, "y", None)]
+    with pytest.raises(ValueError, match="system"):
+        readers.read_codelist_dir(spark, str(tmp_path), schemas.MEDCODE_LIST)
+    assert readers.read_codelist_dir(spark, str(tmp_path / ""), schemas.MEDCODE_LIST, optional=("system",)).count() == 2
+
+
+def test_files_of_one_table_must_agree(spark, tmp_path):
+    _write(tmp_path, "a.txt", "patid\tdod\tmatch_rank\n1\t05/04/2010\t2\n")
+    _write(tmp_path, "b.txt", "dod\tpatid\tmatch_rank\n05/04/2010\t2\t2\n")
+    with pytest.raises(Exception, match="header"):
+        readers.read_delimited(spark, str(tmp_path), schemas.DEATH_REGISTER).collect()
+
+
 def test_tagged_folder(spark, tmp_path, rows):
     _write(tmp_path, "CPRDCAM_CON150_PC_V1-1_Oct.csv", "gemscriptcode\ng1\ng2\n")
-    _write(tmp_path, "CPRDCAM_PNC166_PC_V1-1_Oct.csv", "gemscriptcode\ng3\n")
+    _write(tmp_path, "CPRDCAM_PNC166_PC_V1-1_Oct.csv", "name,gemscriptcode,form\nsyrup,g3,oral\n")
     _write(tmp_path, "CPRDCAM_XXX000_MC_V1-1_Oct.csv", "gemscriptcode\ng9\n")
     out = readers.read_tagged_dir(spark, str(tmp_path), schemas.DRUG_LIST)
     assert rows(out) == [("CON150", "g1"), ("CON150", "g2"), ("PNC166", "g3")]
@@ -103,7 +118,6 @@ def test_disease_map_file(spark, tmp_path, rows):
     head = "Disease,Disease (REAL),c,d,e,f,g,h,i\n"
     _write(tmp_path, "map.csv", head + "Atrial fib x,Atrial fibrilation,,,,,,,z\nGout,Gout,,,,,,,z\n")
     out = readers.read_disease_map(spark, str(tmp_path / "map.csv"), CFG)
-    assert "i" not in out.columns
     assert rows(out, "Disease", "list_disease_real", "main_cond") == [
         ("Atrial_fib_x", "Atrial fibrillation", 1), ("Gout", "Gout", 0)]
 
