@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
 from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from morbidity.config import CONDITION_GROUPS, PERMANENT_DAYS, RESOLVING, Config
-from morbidity.operators.demographics import gp_ethnicity, hospital_ethnicity, modal_value
 from morbidity.plans.study import Tables
 from morbidity.session import tuned
 
@@ -114,25 +112,26 @@ select c_custkey as patid, c_nationkey as pracid,
   case when c_custkey%45=1 then date '1998-06-01' + cast((c_custkey*7)%900 as int) end as cprd_ddate
 from {customer}""",
     "hospital_link": """
-select c_custkey as patid, cast(floor(c_custkey/3) as bigint) as gen_hesid
-from {customer} where c_custkey%10<7""",
+select case when c_custkey%10<7 then c_custkey else -c_custkey end as patid,
+  cast(floor(c_custkey/3) as bigint) as gen_hesid
+from {customer}""",
     "death_register": """
-select c_custkey as patid, date '1996-01-01' + cast((c_custkey*13)%1900 as int) as dod,
-  cast(1 + c_custkey%3 as int) as match_rank
-from {customer} where c_custkey%9=0
+select case when c_custkey%9=0 then c_custkey else -c_custkey end as patid,
+  date '1996-01-01' + cast((c_custkey*13)%1900 as int) as dod, cast(1 + c_custkey%3 as int) as match_rank
+from {customer}
 union all
-select c_custkey as patid, date '1995-06-01' + cast((c_custkey*5)%1900 as int) as dod,
-  cast(1 + c_custkey%2 as int) as match_rank
-from {customer} where c_custkey%27=0""",
+select case when c_custkey%27=0 then c_custkey else -c_custkey end as patid,
+  date '1995-06-01' + cast((c_custkey*5)%1900 as int) as dod, cast(1 + c_custkey%2 as int) as match_rank
+from {customer}""",
     "practice": """
 select n_nationkey as pracid, n_regionkey as region,
   date '2001-06-30' - cast(n_nationkey*30 as int) as lcd
 from {nation}""",
     "deprivation": """
-select c_custkey as patid,
+select case when c_custkey%101=5 then -c_custkey else c_custkey end as patid,
   case when c_custkey%53=0 then null
        else cast(1 + cast(floor(c_custkey/2) as bigint)%10 as int) end as imd2015_decile
-from {customer} where c_custkey%101<>5""",
+from {customer}""",
     "observation": """
 select o_custkey as patid, l_orderkey*10 + l_linenumber as obsid, l_partkey%40 as medcodeid,
   cast(l_partkey%7 as int) as obstypeid,
@@ -146,9 +145,9 @@ from {lineitem} join {orders} on l_orderkey=o_orderkey""",
 select o_custkey as patid, l_partkey%40 as prodcodeid, cast(l_shipdate as date) as issuedate
 from {lineitem} join {orders} on l_orderkey=o_orderkey""",
     "prodcodes": """
-select cast(p_partkey as bigint) as prodcodeid,
-  case when p_partkey<8 then 'CON150' when p_partkey<16 then 'PNC166' else 'PNC167' end as cond
-from {part} where p_partkey<24""",
+select cast(case when p_partkey%5=4 then -p_partkey else p_partkey end as bigint) as prodcodeid,
+  case cast(floor(p_partkey/8) as bigint)%3 when 0 then 'CON150' when 1 then 'PNC166' else 'PNC167' end as cond
+from {part}""",
     "inpatient": """
 select o_custkey as patid, o_orderkey as epikey,
   case when o_orderkey%31=0 then null else cast(o_orderdate as date) end as epistart,
@@ -162,29 +161,32 @@ select o_custkey as patid, o_orderkey as epikey,
   cast(o_orderdate as date) as epistart
 from {orders}""",
     "op_clinical": """
-select o_custkey as patid, o_orderkey as attendkey,
+select o_custkey as patid, case when o_orderkey%3=1 then -o_orderkey else o_orderkey end as attendkey,
   concat(substr('EFIJ', cast(1 + o_orderkey%4 as int), 1), cast(10 + o_orderkey%5 as string),
     cast(cast(floor(o_orderkey/20) as bigint)%10 as string)) as diag_01,
   case when o_orderkey%2=0 then concat(substr('FIJE', cast(1 + o_orderkey%4 as int), 1),
     cast(10 + o_orderkey%3 as string), 'X') else '' end as diag_02,
   case when o_orderkey%6=0 then 'I10' end as diag_03
-from {orders} where o_orderkey%3<>1""",
+from {orders}""",
     "op_appointment": """
-select o_custkey as patid, o_orderkey as attendkey, cast(o_orderdate as date) as apptdate
-from {orders} where o_orderkey%7<>2""",
+select o_custkey as patid, case when o_orderkey%7=2 then o_orderkey + 1000000000000 else o_orderkey end as attendkey,
+  cast(o_orderdate as date) as apptdate
+from {orders}""",
     "eth_episodes": """
 select o_custkey as patid, cast(o_orderdate as date) as admidate,
-  case when o_orderkey%13=0 then 'Unknown' when o_orderkey%4=0 then 'White'
+  case when o_orderkey%13=0 or o_custkey%6=0 or o_orderkey%3<>0 then 'Unknown' when o_orderkey%4=0 then 'White'
        when o_orderkey%4=1 then 'Asian' else 'Black' end as ethnos
-from {orders} where o_custkey%6<>0 and o_orderkey%3=0""",
+from {orders}""",
     "eth_attendances": """
 select o_custkey as patid, cast(o_orderdate as date) + 1 as arrivaldate,
-  case when o_orderkey%4=0 then 'White' when o_orderkey%4=1 then 'Bangladeshi' else 'Not in lookup' end as ethnos
-from {orders} where o_custkey%6<>0 and o_orderkey%3=1""",
+  case when o_custkey%6=0 or o_orderkey%3<>1 then 'Unknown' when o_orderkey%4=0 then 'White'
+       when o_orderkey%4=1 then 'Bangladeshi' else 'Not in lookup' end as ethnos
+from {orders}""",
     "eth_outpatients": """
 select o_custkey as patid, case when o_orderkey%17<>0 then cast(o_orderdate as date) end as apptdate,
-  case when o_orderkey%3=0 then 'White' when o_orderkey%4=1 then 'Asian' else 'Black' end as ethnos
-from {orders} where o_custkey%6<>0 and o_orderkey%3=2""",
+  case when o_custkey%6=0 or o_orderkey%3<>2 then 'Unknown' when o_orderkey%4=1 then 'Asian'
+       when o_orderkey%4=2 then 'White' else 'Black' end as ethnos
+from {orders}""",
     "codelist": values("disease, medcodeid, read, list_disease_real, descr", CODES),
     "icd_codes": values("ICD10code, list_disease_real, disease_duration", ICD_ROWS),
     "ethnic_codes": values("medcodeid, Term, Group1, Group2, Group3", ETHNIC_CODES),
@@ -214,11 +216,13 @@ select case p_partkey%4 when 0 then 'CON150' when 1 then 'PNC166' when 2 then 'P
   concat('g', cast(cast(floor(p_partkey/2) as bigint) as string)) as gemscriptcode
 from {part}""",
     "gemscript_map": """
-select concat('g', cast(p_partkey as string)) as gemscript_drug_code, p_partkey*7 as dmd_code
-from {part} where p_partkey%3<>0""",
+select concat(case when p_partkey%3=0 then 'x' else 'g' end, cast(p_partkey as string)) as gemscript_drug_code,
+  p_partkey*7 as dmd_code
+from {part}""",
     "products": """
-select cast(floor(p_partkey/2) as bigint)*7 as dmdid, p_partkey + 100000 as ProdCodeId
-from {part} where p_partkey%5<>1""",
+select cast(floor(p_partkey/2) as bigint)*7 * case when p_partkey%5=1 then -1 else 1 end as dmdid,
+  p_partkey + 100000 as ProdCodeId
+from {part}""",
     "names": """
 select p_partkey, concat(p_type, case when p_partkey%3=0 then '-NOS ' when p_partkey%3=1 then ' Alcohol Misuse '
   else ' other or not specified-' end, p_name) as name
@@ -248,16 +252,7 @@ class Fixture:
         return df
 
     @cached_property
-    def ethnicity_records(self) -> DataFrame:
-        hospital = hospital_ethnicity(
-            self.eth_episodes, self.eth_attendances, self.eth_outpatients, self.ethnic_groups
-        )
-        return hospital.unionByName(
-            gp_ethnicity(self.observation, self.ethnic_codes, self.ethnic_groups, self.cfg)
-        )
-
-    @cached_property
-    def tables_without_ethnicity(self) -> Tables:
+    def tables(self) -> Tables:
         return Tables(
             patient=self.patient,
             practice=self.practice,
@@ -269,13 +264,12 @@ class Fixture:
             inpatient_diagnosis=self.inpatient,
             outpatient_clinical=self.op_clinical,
             outpatient_appointment=self.op_appointment,
-            ethnicity=None,
+            inpatient_episode=self.eth_episodes,
+            emergency_attendance=self.eth_attendances,
+            outpatient_visit=self.eth_outpatients,
+            gp_ethnicity_lookup=self.ethnic_codes,
+            hospital_ethnicity_lookup=self.ethnic_groups,
             codelist=self.codelist,
             icd_lookup=self.icd_codes,
             prodcodes=self.prodcodes,
         )
-
-    @cached_property
-    def tables(self) -> Tables:
-        modal = modal_value(self.ethnicity_records, "patid", "HES_ethnic_group", "obsdate")
-        return replace(self.tables_without_ethnicity, ethnicity=modal)

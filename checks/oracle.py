@@ -56,14 +56,13 @@ select * from (
 where censor_date > regstartdate"""
 
 # ------------------------------------------------------------------ cleaning
-STEPS["o_clean1"] = """
-select patid, obsid, medcodeid, obstypeid, enterdate,
-  case when odd = 1 then enterdate else seen end as obsdate
-from (select *, case when seen < date '1900-01-01' or seen > date '2023-01-01' then 1 else 0 end as odd,
-        case when enterdate < date '1900-01-01' or enterdate > date '2023-01-01' or enterdate is null
-             then 1 else 0 end as odd_entry
-      from (select *, case when obsdate is null then enterdate else obsdate end as seen from observation))
-where seen is not null and not (odd = 1 and odd_entry = 1)"""
+_PLAUSIBLE = "between date '1900-01-01' and date '2023-01-01'"
+STEPS["o_clean1"] = f"""
+select * from (
+  select patid, obsid, medcodeid, obstypeid, enterdate,
+    list_filter([coalesce(obsdate, enterdate), enterdate], lambda d: d {_PLAUSIBLE})[1] as obsdate
+  from observation)
+where obsdate is not null"""
 STEPS["o_clean2"] = """
 select o.patid, obsid, medcodeid, obstypeid, enterdate, p.yob,
   case when year(obsdate) < p.yob then enterdate else obsdate end as obsdate
@@ -91,7 +90,7 @@ from (select distinct o.patid, o.obsdate, e.Group2 from {obs} o
 join ethnic_groups g on g.HES_category = c.Group2"""
 
 
-STEPS["o_eth_gp"] = _eth_gp("observation")
+STEPS["o_eth_gp"] = _eth_gp("o_clean2")
 STEPS["o_eth"] = "select * from o_eth_hospital union all select * from o_eth_gp"
 STEPS["o_modal"] = """
 select patid, HES_ethnic_group from (
@@ -227,19 +226,15 @@ where death = 1 or censor_date >= year_start"""
 
 
 STEPS["o_skeleton"] = _skeleton("o_pat")
-STEPS["o_weighted"] = """
-select *, case when death_date is null or death_date = censor_date or (death_date > censor_date and death = 0)
-    or (death_date > censor_date and death = 1 and censor_date >= year_start and censor_date <= year_end)
-  then (least(year_end, censor_date) - greatest(year_start, regstartdate) + 1) / (year_end - year_start + 1)
-  when death_date > censor_date and death = 1 and censor_date < year_start then 0.0 end as weight
-from (""" + _skeleton("o_patient_table") + ")"
+# days of a year lived under follow-up: the overlap of the year and the time from registration to censoring
+_OVERLAP = "greatest(0, least(year_end, censor_date) - greatest(year_start, regstartdate{}) + 1) / (year_end - year_start + 1)"
+STEPS["o_weighted"] = f"select *, {_OVERLAP.format('')} as weight from ({_skeleton('o_patient_table')})"
 
 
 def share(d: str) -> str:
-    return f"""case when {d} is null or {d} > year_end or (death_date is not null and death_date > censor_date and death = 1)
-  then 0.0 when {d} <= censor_date
-  then (least(year_end, censor_date) - greatest({d}, year_start, regstartdate) + 1) / (year_end - year_start + 1)
-  else 0.0 end"""
+    """The overlap of the year, follow-up and illness. A year of death after follow-up has ended has no part in it."""
+    within = f"not coalesce(death = 1 and death_date > censor_date, false) and {d} is not null"
+    return f"case when {within} then {_OVERLAP.format(f', {d}')} else 0.0 end"
 
 
 def inc(d: str) -> str:
@@ -481,7 +476,7 @@ where l.cond in ('CON150', 'PNC166', 'PNC167')""",
     "outpatient_join": "select * from o_op",
     "ethnicity_sources": "select * from o_eth",
     "ethnicity_gp_codes": """select o.patid, o.obsdate, e.Term, e.Group1, e.Group2, e.Group3, 'CPRD' as source
-from observation o join ethnic_codes e on e.medcodeid = o.medcodeid where o.obstypeid <> 4""",
+from o_clean2 o join ethnic_codes e on e.medcodeid = o.medcodeid where o.obstypeid <> 4""",
     "ethnicity_modal": "select * from o_modal",
     "patient_table": "select patid, pracid, yob, gender, regstartdate, regenddate, cprd_ddate, death_date, region, lcd, "
                      "censor_date, imd2015_decile, ethnicity from o_patient_table",

@@ -16,7 +16,7 @@ from morbidity.config import (
     SCORE_STANDARD_REPORTS,
     column_name,
 )
-from morbidity.functions import dates, shares
+from morbidity.functions import dates
 from morbidity.functions.text import normalise_disease
 from morbidity.operators import (
     clean,
@@ -70,12 +70,9 @@ def diag_share(f: Fixture) -> DataFrame:
     first = f.base("orders").groupBy(F.col("o_custkey").alias("patid")).agg(
         F.min(F.col("o_orderdate").cast("date")).alias("d")
     )
-    rows = panel.panel_skeleton(eligible(f), CFG).join(first, "patid")
-    row = [F.col(c) for c in ("regstartdate", "year_start", "year_end", "death_date", "censor_date", "death")]
-    return rows.select(
-        "patid", "fyear", "d", F.round(shares.year_share(F.col("d"), *row), 6).alias("share"),
-        shares.incident(F.col("d"), *row[:3]).alias("inc"),
-    )
+    rows = panel.with_bounds(panel.panel_skeleton(eligible(f), CFG).join(first, "patid"))
+    share = f"round({panel.days_in_bounds('d')} / year_days, 6) as share"
+    return rows.selectExpr("patid", "fyear", "d", share, f"{panel.incident_in_bounds('d')} as inc")
 
 
 # ---------------------------------------------------------------- code lists
@@ -159,7 +156,7 @@ def practice_attributes(f: Fixture) -> DataFrame:
 
 
 def eligible(f: Fixture) -> DataFrame:
-    return study.eligible_patients(f.tables_without_ethnicity, CFG)
+    return study.eligible_patients(f.tables, CFG)
 
 
 @query
@@ -201,22 +198,22 @@ def outpatient_join(f: Fixture) -> DataFrame:
 # ---------------------------------------------------------------- demographics
 @query
 def ethnicity_sources(f: Fixture) -> DataFrame:
-    return f.ethnicity_records
+    return study.ethnicity_records(f.tables, observations(f), CFG)
 
 
 @query
 def ethnicity_gp_codes(f: Fixture) -> DataFrame:
-    return demographics.gp_ethnicity_codes(f.observation, f.ethnic_codes, CFG)
+    return demographics.gp_ethnicity_codes(observations(f), f.ethnic_codes, CFG)
 
 
 @query
 def ethnicity_modal(f: Fixture) -> DataFrame:
-    return f.tables.ethnicity
+    return study.ethnicity(f.tables, observations(f), CFG)
 
 
 @query
 def patient_table(f: Fixture) -> DataFrame:
-    return demographics.patient_table(eligible(f), f.deprivation, f.tables.ethnicity)
+    return studied(f)
 
 
 # ---------------------------------------------------------------- diagnoses
@@ -227,21 +224,22 @@ def inpatient_dx(f: Fixture) -> DataFrame:
 
 @query
 def outpatient_dx_long(f: Fixture) -> DataFrame:
-    return diagnosis.outpatient_codes(outpatient_join(f), CFG)
+    codes = diagnosis.outpatient_codes(outpatient_join(f), CFG)
+    return codes.select("patid", F.col("apptdate").alias("obsdate"), "ICD10code")
 
 
 @query
 def outpatient_dx(f: Fixture) -> DataFrame:
-    return diagnosis.outpatient_dx(outpatient_join(f), f.icd_codes, CFG)
+    return diagnosis.outpatient_dx(f.op_clinical, f.op_appointment, f.icd_codes, CFG)
 
 
 @query
 def hospital_dx(f: Fixture) -> DataFrame:
-    return study.hospital_events(f.tables_without_ethnicity, eligible(f), CFG)
+    return study.hospital_events(f.tables, eligible(f), CFG)
 
 
 def observations(f: Fixture) -> DataFrame:
-    return study.coded_events(f.tables_without_ethnicity, eligible(f), CFG)
+    return study.coded_events(f.tables, eligible(f), CFG)
 
 
 @query
@@ -289,10 +287,10 @@ def spells_resolving(f: Fixture) -> DataFrame:
 def found(f: Fixture) -> DataFrame:
     """All spells before close ones are merged."""
     patients = writers.stage(eligible(f), "patients")
-    seen = writers.stage(study.coded_events(f.tables_without_ethnicity, patients, CFG), "observations")
-    stays = study.hospital_events(f.tables_without_ethnicity, patients, CFG)
+    seen = writers.stage(study.coded_events(f.tables, patients, CFG), "observations")
+    stays = study.hospital_events(f.tables, patients, CFG)
     coded = diagnosis.resolving_events(diagnosis.gp_events(seen, CFG), stays, f.codelist, CFG)
-    drugs = study.prescription_spells(f.tables_without_ethnicity, seen, patients, CFG)
+    drugs = study.prescription_spells(f.tables, seen, patients, CFG)
     return spells.resolving_spells(coded, CFG).unionByName(drugs)
 
 
@@ -342,7 +340,7 @@ def panel_skeleton(f: Fixture) -> DataFrame:
 
 
 def studied(f: Fixture) -> DataFrame:
-    return demographics.patient_table(eligible(f), f.deprivation, f.tables.ethnicity)
+    return demographics.patient_table(eligible(f), f.deprivation, ethnicity_modal(f))
 
 
 def weighted(f: Fixture) -> DataFrame:
@@ -423,19 +421,19 @@ WEIGHTS = ["actual_pop_wt", "standard_pop_wt"]
 
 @query
 def score_cells(f: Fixture) -> DataFrame:
-    return rounded(standardise.score_cells(active(f), CFG), CELL_COLUMNS, ["cam_score_general", *WEIGHTS])
+    return rounded(standardise.report_cells(active(f), CFG), CELL_COLUMNS, ["cam_score_general", *WEIGHTS])
 
 
 @query
 def score_crude(f: Fixture) -> DataFrame:
-    cells = standardise.score_cells(active(f), CFG)
+    cells = standardise.report_cells(active(f), CFG)
     value = ["cam_score_general"]
     return rounded(reports.weighted_report(cells, value, WEIGHTS[0], SCORE_CRUDE_REPORTS), REPORT_COLUMNS, value)
 
 
 @query
 def score_standardised(f: Fixture) -> DataFrame:
-    cells = standardise.score_cells(active(f), CFG)
+    cells = standardise.report_cells(active(f), CFG)
     value = ["cam_score_general"]
     return rounded(reports.weighted_report(cells, value, WEIGHTS[1], SCORE_STANDARD_REPORTS), REPORT_COLUMNS, value)
 
@@ -445,18 +443,18 @@ PREVS = [f"prev_{c}" for c in CFG.reported_columns]
 
 @query
 def prev_cells(f: Fixture) -> DataFrame:
-    return rounded(standardise.prevalence_cells(active(f), CFG), CELL_COLUMNS, [*PREVS, *WEIGHTS])
+    return rounded(standardise.report_cells(active(f), CFG), CELL_COLUMNS, [*PREVS, *WEIGHTS])
 
 
 @query
 def prev_crude(f: Fixture) -> DataFrame:
-    cells = standardise.prevalence_cells(active(f), CFG)
+    cells = standardise.report_cells(active(f), CFG)
     return rounded(reports.weighted_report(cells, PREVS, WEIGHTS[0], PREVALENCE_CRUDE_REPORTS), REPORT_COLUMNS, PREVS)
 
 
 @query
 def prev_standardised(f: Fixture) -> DataFrame:
-    cells = standardise.prevalence_cells(active(f), CFG)
+    cells = standardise.report_cells(active(f), CFG)
     report = reports.weighted_report(cells, PREVS, WEIGHTS[1], PREVALENCE_STANDARD_REPORTS)
     return rounded(report, REPORT_COLUMNS, PREVS)
 
@@ -509,7 +507,7 @@ def cohort_folders(f: Fixture) -> DataFrame:
 def written_reports(f: Fixture) -> DataFrame:
     """The score reports, written in folders by report and read back."""
     path = _folder(f, "reports")
-    cells = writers.stage(standardise.score_cells(active(f), CFG), "cells")
+    cells = writers.stage(standardise.report_cells(active(f), CFG), "cells")
     writers.write_reports({"score": study.score_reports(cells, CFG)}, path)
     back = f.spark.read.parquet(f"{path}/score")
     return rounded(back, REPORT_COLUMNS, ["cam_score_general"])

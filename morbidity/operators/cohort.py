@@ -18,12 +18,12 @@ def dedupe_linked(patients: DataFrame, links: DataFrame) -> DataFrame:
     The latest start wins, then the latest end (a missing end loses), then the highest patid. ``max`` of a
     struct combines map-side, so one person with a great many registrations is no hot task.
     """
-    linked = patients.join(links.where("gen_hesid is not null").select("patid", "gen_hesid"), "patid")
+    named = patients.join(links.where("gen_hesid is not null").select("patid", "gen_hesid"), "patid", "left")
     order = ["regstartdate", "regenddate", "patid"]
     row = F.struct(*order, *[c for c in patients.columns if c not in order])
-    latest = linked.groupBy("gen_hesid").agg(F.max(row).alias("row"))
-    alone = patients.join(links.where("gen_hesid is not null").select("patid"), "patid", "left_anti")
-    return alone.unionByName(latest.select("row.*").select(*patients.columns))
+    alone = F.when(F.col("gen_hesid").isNull(), F.col("patid")).alias("alone")
+    latest = named.groupBy("gen_hesid", alone).agg(F.max(row).alias("row"))
+    return latest.select("row.*").select(*patients.columns)
 
 
 def with_death_date(patients: DataFrame, register: DataFrame, cfg: Config) -> DataFrame:

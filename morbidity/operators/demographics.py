@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from morbidity.config import SOURCE_GP, SOURCE_HOSPITAL, Config
 from morbidity.functions.nulls import strict_max
+from morbidity.operators.diagnosis import event_date
 from morbidity.operators.joins import lookup_join
 
 UNKNOWN = "Unknown"
@@ -19,7 +20,7 @@ def hospital_ethnicity(
     """Known ethnic groups recorded at inpatient, emergency and outpatient contacts."""
     dated = ((episodes, "admidate"), (attendances, "arrivaldate"), (outpatients, "apptdate"))
     parts = [
-        df.select("patid", F.col(d).alias("obsdate"), F.col("ethnos").alias("HES_ethnic_group"))
+        df.select("patid", event_date(df, d).alias("obsdate"), F.col("ethnos").alias("HES_ethnic_group"))
         for df, d in dated
     ]
     known = parts[0].unionByName(parts[1]).unionByName(parts[2]).where(F.col("HES_ethnic_group") != UNKNOWN)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +15,7 @@ HOSPITAL = ("patid", "obsdate", "list_disease_real", "disease_duration", "source
 OUTPATIENT_CODES = ("diag_01", "diag_02", "diag_03")
 
 
-def _date(df: DataFrame, name: str) -> Column:
+def event_date(df: DataFrame, name: str) -> Column:
     """A date column as it is, day-month-year text parsed."""
     return parse_day_first(F.col(name)) if dict(df.dtypes)[name] == "string" else F.col(name)
 
@@ -31,28 +29,34 @@ def _hospital_rows(coded: DataFrame, icd_lookup: DataFrame, cfg: Config) -> Data
 
 def inpatient_rows(diag: DataFrame, icd_lookup: DataFrame, cfg: Config) -> DataFrame:
     """Inpatient diagnoses in the lookup, repeats included."""
-    coded = diag.select("patid", _date(diag, "epistart").alias("obsdate"), F.col("icd").alias("ICD10code"))
+    coded = diag.select("patid", event_date(diag, "epistart").alias("obsdate"), F.col("icd").alias("ICD10code"))
     return _hospital_rows(coded, icd_lookup, cfg)
 
 
-def outpatient_codes(op: DataFrame, cfg: Config) -> DataFrame:
+def outpatient_codes(clinical: DataFrame, cfg: Config) -> DataFrame:
     """One row per filled diagnosis field, the code rewritten to the form of the lookup."""
-    codes = F.explode(F.array(*OUTPATIENT_CODES)).alias("icd")
-    long = op.select("patid", _date(op, "apptdate").alias("obsdate"), codes).where("icd != ''")
-    return long.select("patid", "obsdate", outpatient_icd(F.col("icd"), cfg.fix_icd).alias("ICD10code"))
+    kept = [c for c in clinical.columns if c not in OUTPATIENT_CODES]
+    long = clinical.select(*kept, F.explode(F.array(*OUTPATIENT_CODES)).alias("icd")).where("icd != ''")
+    return long.select(*kept, outpatient_icd(F.col("icd"), cfg.fix_icd).alias("ICD10code"))
+
 
+def outpatient_rows(clinical: DataFrame, appointments: DataFrame, icd_lookup: DataFrame, cfg: Config) -> DataFrame:
+    """Outpatient diagnoses in the lookup with the date of their appointment, repeats included.
 
-def outpatient_rows(op: DataFrame, icd_lookup: DataFrame, cfg: Config) -> DataFrame:
-    """Outpatient diagnoses in the lookup, repeats included."""
-    return _hospital_rows(outpatient_codes(op, cfg), icd_lookup, cfg)
+    Most codes are not in the lookup, so it is joined first: only what it leaves is shuffled to meet the appointments.
+    """
+    listed = outpatient_codes(clinical, cfg).join(icd_lookup.select("ICD10code"), "ICD10code", "left_semi")
+    dates = appointments.select("patid", "attendkey", event_date(appointments, "apptdate").alias("obsdate"))
+    dated = listed.join(dates, ["patid", "attendkey"]).select("patid", "obsdate", "ICD10code")
+    return _hospital_rows(dated, icd_lookup, cfg)
 
 
 def inpatient_dx(diag: DataFrame, icd_lookup: DataFrame, cfg: Config) -> DataFrame:
     return inpatient_rows(diag, icd_lookup, cfg).distinct()
 
 
-def outpatient_dx(op: DataFrame, icd_lookup: DataFrame, cfg: Config) -> DataFrame:
-    return outpatient_rows(op, icd_lookup, cfg).distinct()
+def outpatient_dx(clinical: DataFrame, appointments: DataFrame, icd_lookup: DataFrame, cfg: Config) -> DataFrame:
+    return outpatient_rows(clinical, appointments, icd_lookup, cfg).distinct()
 
 
 def hospital_dx(inpatient: DataFrame, outpatient: DataFrame, patients: DataFrame, cfg: Config) -> DataFrame:
@@ -131,5 +135,3 @@ def resolving_events(gp: DataFrame, hospital: DataFrame, codelist: DataFrame, cf
     )
 
 
-def union_all(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from morbidity.config import Config, column_name
 from morbidity.functions import dates
-from morbidity.functions.shares import active_share
+from morbidity.functions.nulls import strict_greatest, strict_least
 from morbidity.operators.spells import KEYS
 
 
@@ -35,17 +35,16 @@ def panel_skeleton(patients: DataFrame, cfg: Config) -> DataFrame:
 
 
 def with_weight(panel: DataFrame) -> DataFrame:
-    """Share of the year under follow-up; 0 in the year of a death after a follow-up that ended before it."""
-    died, censor = F.col("death_date"), F.col("censor_date")
-    ys, ye, dies = F.col("year_start"), F.col("year_end"), F.col("death") == 1
-    later = died > censor
-    followed = died.isNull() | (died == censor) | (later & ~dies) | (later & dies & censor.between(ys, ye))
-    share = active_share(F.col("regstartdate"), censor, ys, ye)
-    return panel.withColumn("weight", F.when(followed, share).when(later & dies & (censor < ys), F.lit(0.0)))
+    """Share of the year's days under follow-up: none in the year of a death after follow-up had ended."""
+    lived_from = strict_greatest(F.col("regstartdate"), F.col("year_start"))
+    lived_to = strict_least(F.col("censor_date"), F.col("year_end"))
+    lived = dates.days_between(lived_from, lived_to)
+    of_year = dates.days_between(F.col("year_start"), F.col("year_end"))
+    return panel.withColumn("weight", F.when(lived > 0, lived / of_year).when(lived <= 0, F.lit(0.0)))
 
 
 def _earliest(date: str, condition: str, name: str) -> Column:
-    return F.expr(f"min(if(list_disease_real = '{condition}', {date}, null)) as {name}")
+    return F.min(F.when(F.col("list_disease_real") == F.lit(condition), F.col(date))).alias(name)
 
 
 def permanent_wide(permanent: DataFrame, cfg: Config) -> DataFrame:
@@ -115,7 +114,7 @@ def with_bounds(panel: DataFrame) -> DataFrame:
 
 
 def days_in_bounds(date: str) -> str:
-    """Days of the year from the date on that were lived: ``year_share`` before the division."""
+    """Days of the year from the date on that were lived."""
     return f"if({date} > lived_to, 0, if({date} <= lived_from, lived_days, datediff(lived_to, {date}) + 1))"
 
 

@@ -25,11 +25,13 @@ def rx_candidates(drugs: DataFrame, prodcodes: DataFrame, cfg: Config) -> DataFr
     """Distinct issues of studied products, where a patient has enough issues of a list over all time.
 
     Issues are counted before repeats are dropped; the count rides along with the distinct, so one
-    aggregation and one window do both.
+    aggregation and one window do both. What is left is dealt out by patient once, for this window and
+    for the joins and windows that follow.
     """
     issued = drugs.where(F.col("issuedate") <= F.lit(cfg.end)).select("patid", "prodcodeid", "issuedate")
     listed = lookup_join(issued, prodcodes.select("prodcodeid", "cond"), "prodcodeid")
     once = listed.groupBy("patid", "cond", "issuedate", "prodcodeid").agg(F.count(F.lit(1)).alias("n"))
+    once = once.repartition("patid")
     total = F.sum("n").over(Window.partitionBy("patid", "cond"))
     return once.withColumn("n", total).where(F.col("n") >= cfg.rx_min_count).drop("n")
 

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from morbidity.config import AGE_LABELS, DECILE_LABELS, STANDARD_WEIGHTS, UNREPORTED, Config
 from morbidity.functions.bands import age_band, age_band_ordinal, age_in_year, decile_label
 from morbidity.functions.nulls import strict_avg
-from morbidity.operators.joins import is_lookup
 
 STRATA = ("agecat", "gender", "imd_deciles")
 CELL = ("fyear", "imd_deciles", "imd2015_decile", "agecat", "agecat_ord", "gender", "wt_esp")
@@ -27,16 +26,17 @@ def with_bands(panel: DataFrame) -> DataFrame:
 
 def standard_population(spark: SparkSession, cfg: Config) -> DataFrame:
     """Weight of every age band, sex, decile and year: as many rows as the configuration multiplies to."""
-    bands = ", ".join(f"named_struct('a', '{a}', 'w', {w}D)" for a, w in zip(AGE_LABELS, STANDARD_WEIGHTS))
-    deciles = ", ".join(f"'{d}'" for d in DECILE_LABELS)
-    genders = ", ".join(str(g) for g in cfg.genders)
-    years = f"sequence({cfg.standard_first_year}, {cfg.standard_last_year})"
+    pairs = zip(AGE_LABELS, STANDARD_WEIGHTS)
+    bands = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(float(w)).alias("w")) for a, w in pairs])
+    genders = F.array(*[F.lit(g) for g in cfg.genders])
+    deciles = F.array(*[F.lit(d) for d in DECILE_LABELS])
+    years = F.sequence(F.lit(cfg.standard_first_year), F.lit(cfg.standard_last_year))
     return (
         spark.range(1)
-        .selectExpr(f"explode(array({bands})) as band")
-        .selectExpr("band.a as agecat", f"explode(array({genders})) as gender", "band.w as wt_esp")
-        .selectExpr("agecat", "gender", f"explode(array({deciles})) as imd_deciles", "wt_esp")
-        .selectExpr("agecat", "gender", "imd_deciles", f"explode({years}) as fyear", "wt_esp")
+        .select(F.explode(bands).alias("band"))
+        .select(F.col("band.a").alias("agecat"), F.explode(genders).alias("gender"), F.col("band.w").alias("wt_esp"))
+        .select("agecat", "gender", F.explode(deciles).alias("imd_deciles"), "wt_esp")
+        .select("agecat", "gender", "imd_deciles", F.explode(years).alias("fyear"), "wt_esp")
     )
 
 
@@ -64,14 +64,12 @@ def active_rows(panel: DataFrame, standard: DataFrame, cfg: Config) -> DataFrame
 def active_set(active: DataFrame) -> DataFrame:
     """Adds the number of patients per year and per year and stratum.
 
-    The strata are counted before they are broadcast; should they ever be too many, Spark joins them by key.
+    The panel has one row per patient and year, so rows are counted, once for all strata; a year's number is the sum of its strata's.
     """
-    per_year = active.groupBy("fyear").agg(F.countDistinct("patid").alias("popsize_tot"))
-    per_cell = active.groupBy("fyear", *STRATA).agg(F.countDistinct("patid").alias("popsize"))
+    per_cell = active.groupBy("fyear", *STRATA).agg(F.count(F.lit(1)).alias("popsize"))
     renamed = {c: f"cell_{c}" for c in ("fyear", *STRATA)}
-    cell = per_cell.join(F.broadcast(per_year), "fyear").withColumnsRenamed(renamed)
-    if is_lookup(cell):
-        cell = F.broadcast(cell)
+    total = F.sum("popsize").over(Window.partitionBy("fyear"))
+    cell = per_cell.withColumn("popsize_tot", total).withColumnsRenamed(renamed)
     same = reduce(and_, [F.col(c).eqNullSafe(F.col(name)) for c, name in renamed.items()])
     return active.join(cell, same).drop(*renamed.values())
 
@@ -99,23 +97,18 @@ def _sized(cells: DataFrame, strict: bool) -> DataFrame:
     ).drop("n")
 
 
-def score_cells(active: DataFrame, cfg: Config) -> DataFrame:
-    """Mean score per cell.
+def report_cells(active: DataFrame, cfg: Config) -> DataFrame:
+    """Mean score, and for each condition the patients with it over patients under follow-up, per cell.
 
-    A panel has one row per patient and year, so counting rows counts patients: one aggregation, combined
-    map-side, and no patient identifier is shuffled.
+    A panel has one row per patient and year, so counting rows counts patients: one aggregation for both report
+    families, combined map-side, and no patient identifier is shuffled. A null share leaves a cell's prevalence null.
     """
-    cells = active.groupBy(*CELL).agg(
-        F.count(F.lit(1)).alias("n"), strict_avg(F.col("cam_score_general")).alias("cam_score_general")
-    )
-    return _sized(cells, cfg.strict)
-
-
-def prevalence_cells(active: DataFrame, cfg: Config) -> DataFrame:
-    """Patients with the condition over patients under follow-up, per cell and condition."""
+    under = F.count_if(F.col("weight") > 0)
+    under = F.when(under != 0, under)
     shares = []
     for c in cfg.reported_columns:
-        # a null share leaves the cell's prevalence null
-        ill = f"if(count(prop_{c}) = count(1), count_if(prop_{c} > 0), null)"
-        shares.append(F.expr(f"{ill} / nullif(count_if(weight > 0), 0) as prev_{c}"))
-    return _sized(active.groupBy(*CELL).agg(F.count(F.lit(1)).alias("n"), *shares), cfg.strict)
+        share = F.col(f"prop_{c}")
+        ill = F.when(F.count(share) == F.count(F.lit(1)), F.count_if(share > 0))
+        shares.append((ill / under).alias(f"prev_{c}"))
+    mean = strict_avg(F.col("cam_score_general")).alias("cam_score_general")
+    return _sized(active.groupBy(*CELL).agg(F.count(F.lit(1)).alias("n"), mean, *shares), cfg.strict)

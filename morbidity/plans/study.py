@@ -48,7 +48,11 @@ class Tables:
     inpatient_diagnosis: DataFrame
     outpatient_clinical: DataFrame
     outpatient_appointment: DataFrame
-    ethnicity: DataFrame
+    inpatient_episode: DataFrame
+    emergency_attendance: DataFrame
+    outpatient_visit: DataFrame
+    gp_ethnicity_lookup: DataFrame
+    hospital_ethnicity_lookup: DataFrame
     codelist: DataFrame
     icd_lookup: DataFrame
     prodcodes: DataFrame
@@ -66,8 +70,10 @@ def eligible_patients(t: Tables, cfg: Config) -> DataFrame:
 
 
 def coded_events(t: Tables, patients: DataFrame, cfg: Config) -> DataFrame:
-    """Cleaned observations with a listed code. The code filter comes first, for it drops most rows."""
-    coded = diagnosis.coded_only(t.observation, t.codelist)
+    """Cleaned observations with a listed code, of a condition or of an ethnic group. The code filter comes first, for it
+    drops most rows."""
+    codes = t.codelist.select("medcodeid").union(t.gp_ethnicity_lookup.select("medcodeid"))
+    coded = diagnosis.coded_only(t.observation, codes)
     if cfg.clean_observations:
         coded = clean.clean_birth_year(clean.clean_observation_dates(coded, cfg), patients)
     else:
@@ -79,13 +85,20 @@ def hospital_events(t: Tables, patients: DataFrame, cfg: Config) -> DataFrame:
     inpatient = t.inpatient_diagnosis
     if cfg.clean_episodes:
         inpatient = clean.fill_date(inpatient, "epistart", "epiend")
-    outpatient = clean.outpatient_diagnoses(t.outpatient_clinical, t.outpatient_appointment)
-    return diagnosis.hospital_dx(
-        diagnosis.inpatient_rows(inpatient, t.icd_lookup, cfg),
-        diagnosis.outpatient_rows(outpatient, t.icd_lookup, cfg),
-        patients,
-        cfg,
-    )
+    outpatient = diagnosis.outpatient_rows(t.outpatient_clinical, t.outpatient_appointment, t.icd_lookup, cfg)
+    return diagnosis.hospital_dx(diagnosis.inpatient_rows(inpatient, t.icd_lookup, cfg), outpatient, patients, cfg)
+
+
+def ethnicity_records(t: Tables, observations: DataFrame, cfg: Config) -> DataFrame:
+    """Ethnic groups from hospital contacts and from cleaned general practice observations."""
+    groups = t.hospital_ethnicity_lookup
+    hospital = demographics.hospital_ethnicity(t.inpatient_episode, t.emergency_attendance, t.outpatient_visit, groups)
+    return hospital.unionByName(demographics.gp_ethnicity(observations, t.gp_ethnicity_lookup, groups, cfg))
+
+
+def ethnicity(t: Tables, observations: DataFrame, cfg: Config) -> DataFrame:
+    """One ethnic group for each patient who has any."""
+    return demographics.modal_value(ethnicity_records(t, observations, cfg), "patid", "HES_ethnic_group", "obsdate")
 
 
 def prescription_spells(t: Tables, observations: DataFrame, patients: DataFrame, cfg: Config) -> DataFrame:
@@ -98,9 +111,8 @@ def prescription_spells(t: Tables, observations: DataFrame, patients: DataFrame,
     return prescriptions.rx_spells(kept, cfg)
 
 
-def diagnoses(t: Tables, patients: DataFrame, cfg: Config) -> tuple[DataFrame, DataFrame]:
+def diagnoses(t: Tables, patients: DataFrame, observations: DataFrame, cfg: Config) -> tuple[DataFrame, DataFrame]:
     """Permanent diagnoses and resolving spells."""
-    observations = stage(coded_events(t, patients, cfg), "observations")
     hospital = stage(hospital_events(t, patients, cfg), "hospital")
     gp = diagnosis.gp_events(observations, cfg)
     permanent = diagnosis.permanent_dx(gp, hospital, t.codelist, cfg)
@@ -119,8 +131,9 @@ def study_panel(t: Tables, cfg: Config) -> DataFrame:
     to the shared folder; all are far smaller than the events they come from.
     """
     eligible = stage(eligible_patients(t, cfg), "patients")
-    permanent, found = diagnoses(t, eligible, cfg)
-    patients = demographics.patient_table(eligible, t.deprivation, t.ethnicity)
+    observations = stage(coded_events(t, eligible, cfg), "observations")
+    permanent, found = diagnoses(t, eligible, observations, cfg)
+    patients = demographics.patient_table(eligible, t.deprivation, ethnicity(t, observations, cfg))
     return panel.assemble_panel(patients, permanent, found, cfg)
 
 
@@ -144,8 +157,6 @@ def prevalence_reports(cells: DataFrame, cfg: Config) -> DataFrame:
 
 
 def study_reports(t: Tables, cfg: Config) -> dict[str, DataFrame]:
-    """Both report families. The panel is written once; the cells of each family are read from it."""
-    active = reported_rows(stage(study_panel(t, cfg), "panel"), cfg)
-    cells = stage(standardise.score_cells(active, cfg), "score_cells")
-    prevalence = stage(standardise.prevalence_cells(active, cfg), "prevalence_cells")
-    return {"score": score_reports(cells, cfg), "prevalence": prevalence_reports(prevalence, cfg)}
+    """Both report families, from one table of cells."""
+    cells = stage(standardise.report_cells(reported_rows(study_panel(t, cfg), cfg), cfg), "cells")
+    return {"score": score_reports(cells, cfg), "prevalence": prevalence_reports(cells, cfg)}

@@ -4,6 +4,7 @@ from dataclasses import replace
 from datetime import date, timedelta
 
 from morbidity.config import Config
+from morbidity.sources import schemas
 from morbidity.operators import diagnosis, prescriptions, spells
 
 CFG = Config()
@@ -29,13 +30,15 @@ def test_inpatient(make, rows):
 
 
 def test_outpatient(make, rows):
-    op = make("patid long, apptdate date, diag_01 string, diag_02 string, diag_03 string",
-              [(1, "2010-01-01", "I10X", "", None), (1, "2010-01-01", "I10", "E119", "I10.0")])
+    op = make("patid long, attendkey long, diag_01 string, diag_02 string, diag_03 string",
+              [(1, 1, "I10X", "", None), (1, 2, "I10", "E119", "I10.0"), (1, 3, "E119", None, None), (2, 1, "E119", None, None)])
+    seen = make(schemas.OUTPATIENT_APPOINTMENT, [(1, 1, "01/01/2010", "White"), (1, 2, "01/01/2010", "White"), (2, 2, "x", None)])
     look = make(ICD, [("I10", "Hypertension", 9999999), ("I10.0", "Hypertension", 9999999), ("E11.9", "Diabetes", 9999999)])
-    assert len(rows(diagnosis.outpatient_codes(op, CFG))) == 4
-    assert rows(diagnosis.outpatient_dx(op, look, CFG), "list_disease_real") == [("Diabetes",), ("Hypertension",)]
+    assert len(rows(diagnosis.outpatient_codes(op, CFG))) == 6
+    assert rows(diagnosis.outpatient_dx(op, seen, look, CFG), "obsdate", "list_disease_real") == [
+        ("2010-01-01", "Diabetes"), ("2010-01-01", "Hypertension")]
     fixed = diagnosis.outpatient_codes(op, replace(CFG, fix_icd=True))
-    assert rows(fixed, "ICD10code") == [("E11.9",), ("I10",), ("I10",), ("I10.0",)]
+    assert rows(fixed, "ICD10code") == [("E11.9",)] * 3 + [("I10",), ("I10",), ("I10.0",)]
 
 
 def test_hospital_and_gp(make, rows):

@@ -128,7 +128,7 @@ def test_cells_and_reports(spark, make):
     active = standardise.active_rows(df, standardise.standard_population(spark, CFG), CFG)
     cells = _cells(made)
     year = {y: sum(len(v) for k, v in cells.items() if k[0] == y) for y in (2008, 2009, 2019)}
-    got = standardise.score_cells(active, CFG).collect()
+    got = standardise.report_cells(active, CFG).collect()
     assert len(got) == len(cells) and {r.fyear: r.popsize_tot for r in got} == year
     for r in got:
         members = cells[r.fyear, int(r.agecat.split("-")[0]) // 5, r.gender, r.imd2015_decile]
@@ -138,21 +138,21 @@ def test_cells_and_reports(spark, make):
     sized = standardise.active_set(active)
     assert {(r.fyear, r.popsize_tot) for r in sized.collect()} == set(year.items()) and sized.count() == active.count()
 
-    prev = standardise.prevalence_cells(active, CFG)
+    prev = standardise.report_cells(active, CFG)
     report = reports.weighted_report(prev, ["prev_copd"], "actual_pop_wt", {"a": (), "b": ("gender",)})
     col = 7 + CFG.reported_columns.index("copd")
     for r in report.collect():
         members = [m for k, v in cells.items() if k[0] == r.fyear and r.gender in (None, k[2]) for m in v]
         assert r.prev_copd == pytest.approx(sum(m[col] > 0 for m in members) / len(members))
 
-    standard = reports.weighted_report(standardise.score_cells(active, CFG), ["cam_score_general"], "standard_pop_wt", {"a": ()})
+    standard = reports.weighted_report(standardise.report_cells(active, CFG), ["cam_score_general"], "standard_pop_wt", {"a": ()})
     for r in standard.collect():
         picked = [c for c in got if c.fyear == r.fyear and c.wt_esp is not None]
         want = sum(c.cam_score_general * c.wt_esp for c in picked) / sum(c.wt_esp for c in picked)
         assert r.cam_score_general == pytest.approx(want)
 
     strict = replace(CFG, strict=True)
-    nulled = reports.weighted_report(standardise.score_cells(active, strict), ["cam_score_general"], "standard_pop_wt", {"a": ()}, strict=True)
+    nulled = reports.weighted_report(standardise.report_cells(active, strict), ["cam_score_general"], "standard_pop_wt", {"a": ()}, strict=True)
     assert [r.cam_score_general for r in nulled.collect()] == [None] * 3
 
 
@@ -164,3 +164,14 @@ def test_report_names_and_keys(make):
     assert [(r.report, r.agecat, r.gender, r.imd_deciles, r.x) for r in out] == [
         ("age_sex", "30-34", 1, None, 1.0), ("age_sex", "30-34", 2, None, 3.0), ("age_sex", "35-39", 2, None, None),
         ("imd", None, None, None, 3.0), ("imd", None, None, "2", 1.0), ("year", None, None, None, 2.5)]
+
+
+def test_names_that_need_care(spark, make):
+    """Quotes and hyphens in a condition's name reach neither SQL text nor a column's name."""
+    cfg = replace(CFG, conditions=("Crohn's", "Non-organic pain", "Asthma"), resolving=("Non-organic pain",))
+    assert cfg.condition_columns == ("crohn_s", "non_organic_pain", "asthma")
+    found = make("patid long, list_disease_real string, diag_date date", [(1, "Crohn's", "2010-05-01"), (1, "Crohn's", "2009-05-01")])
+    row = panel.permanent_wide(found, cfg).first()
+    assert row.crohn_s.isoformat() == "2009-05-01" and row.asthma is None
+    spells = make("patid long, list_disease_real string, diag_date date, remission_date date", [(1, "Non-organic pain", "2010-05-01", "2011-05-01")])
+    assert panel.resolving_wide(spells, cfg).first().in_force[2010].rem_non_organic_pain.isoformat() == "2011-05-01"

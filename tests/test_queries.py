@@ -64,7 +64,7 @@ def test_spells_do_not_touch(spark):
 
 
 def test_cells_add_up(panel_df):
-    cells = standardise.score_cells(study.reported_rows(panel_df, CFG), CFG).collect()
+    cells = standardise.report_cells(study.reported_rows(panel_df, CFG), CFG).collect()
     for year in {c.fyear for c in cells}:
         mine = [c for c in cells if c.fyear == year]
         assert sum(c.popsize for c in mine) == mine[0].popsize_tot
@@ -75,8 +75,8 @@ def test_rules_can_be_switched_off(spark):
     f = Fixture(spark, SMALL)
     off = replace(CFG, remove_duplicate_practices=False, remove_linked_duplicates=False, clean_observations=False,
                   clean_episodes=False, use_prescriptions=False, merge_spells=False, keep_death=False)
-    more = study.eligible_patients(f.tables_without_ethnicity, off).count()
-    assert more > study.eligible_patients(f.tables_without_ethnicity, CFG).count()
+    more = study.eligible_patients(f.tables, off).count()
+    assert more > study.eligible_patients(f.tables, CFG).count()
     panel_off = study.study_panel(f.tables, off)
     assert panel_off.where("prop_pain > 0 or prop_constipation > 0").count() == 0 and panel_off.count() > 0
 
