@@ -18,7 +18,7 @@ WINDOW = 13
 BLOCK_WORDS = 100_000  # words of items in one automaton; more items are taken in further blocks
 FOUND = "n_words long, hits array<struct<start: int, end: int>>, items array<string>"
 _PARTED = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")  # of a text as it is, A-Z included
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -205,7 +205,8 @@ def remove_hits(found: DataFrame, min_words: int = WINDOW, share: int = 20, text
     """The result of ``find_hits`` without contamination: rows over the coverage limit go; of the others, the hit
     runs of ``min_words`` and more are cut out of the text, from the first word's start to the last word's end."""
     kept = found.where(~is_contaminated(share=share))
-    at, hit_at = kept.columns.index(text), kept.columns.index("hits")
+    names = kept.columns
+    at, hit_at = names.index(text), names.index("hits")
 
     def start():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -219,7 +220,7 @@ def remove_hits(found: DataFrame, min_words: int = WINDOW, share: int = 20, text
                 texts.append(t)
             columns = list(batch.columns)
             columns[at] = pa.array(texts, pa.string())
-            return pa.RecordBatch.from_arrays(columns, names=kept.columns)
+            return pa.RecordBatch.from_arrays(columns, names=names)
 
         return work
 
