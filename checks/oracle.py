@@ -531,17 +531,41 @@ FINAL["codelist_folder"] = FINAL["load_codelist"]
 FINAL["cohort_folders"] = FINAL["censor_dates"]
 FINAL["written_reports"] = f"{FINAL['score_crude']} union all {FINAL['score_standardised']}"
 
+FINAL["deprivation_file"] = "select * from deprivation"
+FINAL["drug_list_folder"] = "select * from drug_list"
+FINAL["study_from_files"] = FINAL["panel_final"]
+STEPS["o_op_repaired"] = """
+select patid, apptdate as obsdate, case when length(s) <= 3 or substr(s, 4) = 'X' then substr(s, 1, 3)
+  else concat(substr(s, 1, 3), '.', replace(substr(s, 4, 1), 'X', '0')) end as ICD10code
+from (select patid, apptdate, regexp_replace(icd, '[^[:alnum:]]', '', 'g') as s
+  from (select patid, apptdate, unnest([diag_01, diag_02, diag_03]) as icd from o_op) where icd <> '')"""
+FINAL["outpatient_dx_repaired"] = f"""
+select distinct h.patid, h.obsdate, k.list_disease_real, k.disease_duration, 'HES' as source, {_REMISSION}
+from o_op_repaired h join icd_codes k on k.ICD10code = h.ICD10code"""
+FINAL["skeleton_without_death_years"] = "select patid, fyear, death from o_skeleton where censor_date >= year_start"
+STEPS["o_strict_cells"] = """
+select * replace (case when bool_or(wt_esp is null) over (partition by fyear) then null else standard_pop_wt end as standard_pop_wt)
+from o_score_cells"""
+FINAL["score_strict"] = _report("o_strict_cells", ["cam_score_general"], "standard_pop_wt", SCORE_STANDARD_REPORTS).replace(
+    " where standard_pop_wt is not null", "")
+
 TABLES = {**SQL, **STEPS}
+#: A run from files uses the code tables it builds.
+BUILT = {
+    "codelist": "select * from o_durations",
+    "icd_codes": FINAL["icd_lookup"],
+    "prodcodes": f"select distinct cond, prodcodeid from ({FINAL['prodcode_map']}) m",
+}
 
 
-def _needed(sql: str) -> list[str]:
+def _needed(sql: str, tables: dict[str, str]) -> list[str]:
     """Adapters and steps a statement uses, each after those it uses itself."""
     order: list[str] = []
 
     def visit(text: str) -> None:
-        for name in TABLES:
+        for name in tables:
             if name not in order and re.search(rf"(?:from|join)\s+{name}\b", text):
-                visit(TABLES[name])
+                visit(tables[name])
                 order.append(name)
 
     visit(sql)
@@ -549,8 +573,8 @@ def _needed(sql: str) -> list[str]:
 
 
 def oracle(name: str) -> str:
-    sql = FINAL[name]
-    steps = ",\n".join(f"{n} as ({TABLES[n].strip()})" for n in _needed(sql))
+    sql, tables = FINAL[name], TABLES | BUILT if name == "study_from_files" else TABLES
+    steps = ",\n".join(f"{n} as ({tables[n].strip()})" for n in _needed(sql, tables))
     whole = f"with {steps}\n{sql}" if steps else sql
     for table in ("nation", "customer", "part", "orders", "lineitem"):
         whole = whole.replace("{" + table + "}", table)

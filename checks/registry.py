@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +33,8 @@ from morbidity.operators import (
     spells,
     standardise,
 )
-from morbidity.plans import study
-from morbidity.sources import readers, writers
+from morbidity.plans import from_files, study
+from morbidity.sources import readers, schemas, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SPELL = list(spells.SPELL)
@@ -511,3 +512,87 @@ def written_reports(f: Fixture) -> DataFrame:
     writers.write_reports({"score": study.score_reports(cells, CFG)}, path)
     back = f.spark.read.parquet(f"{path}/score")
     return rounded(back, REPORT_COLUMNS, ["cam_score_general"])
+
+
+@query
+def deprivation_file(f: Fixture) -> DataFrame:
+    """Text whose columns stand in another order, with a prefix and with one more, read by name."""
+    path = _folder(f, "deprivation")
+    mixed = f.deprivation.select(
+        F.lit(900).alias("e_pracid"), F.col("imd2015_decile").alias("imd2015_decile"), F.col("patid").alias("e_patid")
+    )
+    mixed.write.option("sep", "\t").option("header", True).csv(path)
+    return readers.read_delimited(f.spark, path, schemas.DEPRIVATION, prefix="e_")
+
+
+@query
+def drug_list_folder(f: Fixture) -> DataFrame:
+    """Drug lists in files named by list, with columns that differ from file to file."""
+    path = _folder(f, "drugs")
+    _write_drug_lists(f, path)
+    return readers.read_tagged_dir(f.spark, path, schemas.DRUG_LIST)
+
+
+def _write_drug_lists(f: Fixture, path: str) -> None:
+    for n, cond in enumerate(("CON150", "PNC166", "PNC167", "ASM123")):
+        listed = f.drug_list.where(F.col("cond") == cond).select("gemscriptcode")
+        wide = listed.select(*[F.lit("x").alias(f"more{i}") for i in range(n)], "gemscriptcode", F.lit(1).alias("last"))
+        wide.write.option("header", True).csv(f"{path}/CPRDCAM_{cond}_PC_V1-1_Oct.csv")
+
+
+def write_raw_files(f: Fixture, root: str) -> None:
+    """The test tables as the files a run starts from: prefixed names, other column orders, day-first dates."""
+    tables = {name: getattr(f.tables, name) for name in from_files.EVENTS if name != "procedure"}
+    tables["procedure"] = f.procedures
+    for i, (name, df) in enumerate(tables.items()):
+        schema = dict(part.split() for part in from_files.EVENTS[name].split(", "))
+        picked = []
+        for column, kind in schema.items():
+            value = F.col(column) if column in df.columns else F.lit(None)
+            day = kind == "date" or dict(df.dtypes).get(column) == "date"
+            text = F.date_format(value, "dd/MM/yyyy") if day else value.cast("string")
+            picked.append(text.alias(f"e_{column}" if i % 2 else column))
+        picked = [*picked[::-1], F.lit("z").alias("more")] if i % 3 else picked
+        df.select(*picked).write.option("sep", "\t").option("header", True).csv(f"{root}/{name}")
+    even = f.code_file.where("MedCodeId % 2 = 0 or System is null").select("System", "MedCodeId", "Disease", "Descr")
+    odd = f.code_file.where("not (MedCodeId % 2 = 0 or System is null)").select("Disease", F.lit(1).alias("n"), "MedCodeId", "Descr", "System")
+    even.write.option("header", True).csv(f"{root}/codelists")
+    odd.write.option("header", True).mode("append").csv(f"{root}/codelists")
+    f.icd_file.write.option("header", True).csv(f"{root}/icd")
+    f.disease_map.withColumnRenamed("list_disease_real", "Disease (REAL)").write.option("header", True).csv(f"{root}/disease_map")
+    _write_drug_lists(f, f"{root}/drug_lists")
+    lookups = {"gemscript_map": f.gemscript_map, "products": f.products, "gp_ethnicity_lookup": f.ethnic_codes,
+               "hospital_ethnicity_lookup": f.ethnic_groups}
+    for name, df in lookups.items():
+        df.write.option("header", True).csv(f"{root}/{name}")
+
+
+@query
+def study_from_files(f: Fixture) -> DataFrame:
+    """The panel of a run from raw text files, with the code tables that it builds from its lists."""
+    root = _folder(f, "files")
+    write_raw_files(f, root)
+    whole = from_files.run(f.spark, root, _folder(f, "run"), CFG)
+    kept = [c for c in DEMOGRAPHICS if c != "weight"]
+    return whole.selectExpr(*kept, *[f"round({c}, 6) as {c}" for c in ["weight", *PROPS]], *INCS)
+
+
+# ---------------------------------------------------------------- options
+@query
+def outpatient_dx_repaired(f: Fixture) -> DataFrame:
+    return diagnosis.outpatient_dx(f.op_clinical, f.op_appointment, f.icd_codes, replace(CFG, fix_icd=True))
+
+
+@query
+def skeleton_without_death_years(f: Fixture) -> DataFrame:
+    return panel.panel_skeleton(eligible(f), replace(CFG, keep_death=False)).select("patid", "fyear", "death")
+
+
+@query
+def score_strict(f: Fixture) -> DataFrame:
+    """Standardised scores of years in which every cell has a standard weight; in the others they are null."""
+    cfg = replace(CFG, strict=True)
+    cells = standardise.report_cells(active(f), cfg)
+    value = ["cam_score_general"]
+    report = reports.weighted_report(cells, value, WEIGHTS[1], SCORE_STANDARD_REPORTS, strict=True)
+    return rounded(reports.in_order(report), REPORT_COLUMNS, value)

@@ -7,6 +7,7 @@ the patient.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -56,6 +57,11 @@ class Tables:
     codelist: DataFrame
     icd_lookup: DataFrame
     prodcodes: DataFrame
+    procedure: DataFrame | None = None
+
+
+#: Writes a table under a name and gives it back: ``stage``, or ``writers.named`` for tables that a later run finds again.
+Keep = Callable[[DataFrame, str], DataFrame]
 
 
 def eligible_patients(t: Tables, cfg: Config) -> DataFrame:
@@ -111,9 +117,17 @@ def prescription_spells(t: Tables, observations: DataFrame, patients: DataFrame,
     return prescriptions.rx_spells(kept, cfg)
 
 
-def diagnoses(t: Tables, patients: DataFrame, observations: DataFrame, cfg: Config) -> tuple[DataFrame, DataFrame]:
+def procedures(t: Tables, cfg: Config) -> DataFrame | None:
+    """Hospital procedures; one without a date gets that of its episode."""
+    clean_them = t.procedure is not None and cfg.clean_procedures
+    return clean.fill_date(t.procedure, "evdate", "epistart") if clean_them else t.procedure
+
+
+def diagnoses(
+    t: Tables, patients: DataFrame, observations: DataFrame, cfg: Config, keep: Keep = stage
+) -> tuple[DataFrame, DataFrame]:
     """Permanent diagnoses and resolving spells."""
-    hospital = stage(hospital_events(t, patients, cfg), "hospital")
+    hospital = keep(hospital_events(t, patients, cfg), "hospital")
     gp = diagnosis.gp_events(observations, cfg)
     permanent = diagnosis.permanent_dx(gp, hospital, t.codelist, cfg)
     found = spells.resolving_spells(diagnosis.resolving_events(gp, hospital, t.codelist, cfg), cfg)
@@ -124,15 +138,15 @@ def diagnoses(t: Tables, patients: DataFrame, observations: DataFrame, cfg: Conf
     return permanent, found.distinct()
 
 
-def study_panel(t: Tables, cfg: Config) -> DataFrame:
+def study_panel(t: Tables, cfg: Config, keep: Keep = stage) -> DataFrame:
     """The patient-by-year panel.
 
     Patients, coded observations and hospital diagnoses each feed several steps, so they are written once
     to the shared folder; all are far smaller than the events they come from.
     """
-    eligible = stage(eligible_patients(t, cfg), "patients")
-    observations = stage(coded_events(t, eligible, cfg), "observations")
-    permanent, found = diagnoses(t, eligible, observations, cfg)
+    eligible = keep(eligible_patients(t, cfg), "patients")
+    observations = keep(coded_events(t, eligible, cfg), "observations")
+    permanent, found = diagnoses(t, eligible, observations, cfg, keep)
     patients = demographics.patient_table(eligible, t.deprivation, ethnicity(t, observations, cfg))
     return panel.assemble_panel(patients, permanent, found, cfg)
 
@@ -156,7 +170,7 @@ def prevalence_reports(cells: DataFrame, cfg: Config) -> DataFrame:
     return crude.unionByName(standard)
 
 
-def study_reports(t: Tables, cfg: Config) -> dict[str, DataFrame]:
+def study_reports(t: Tables, cfg: Config, keep: Keep = stage) -> dict[str, DataFrame]:
     """Both report families, from one table of cells."""
-    cells = stage(standardise.report_cells(reported_rows(study_panel(t, cfg), cfg), cfg), "cells")
+    cells = keep(standardise.report_cells(reported_rows(study_panel(t, cfg, keep), cfg), cfg), "cells")
     return {"score": score_reports(cells, cfg), "prevalence": prevalence_reports(cells, cfg)}

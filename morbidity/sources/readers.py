@@ -89,7 +89,7 @@ def read_delimited(
 
 
 def _files(spark: SparkSession, path: str, glob: str) -> list[str]:
-    """Files directly in a folder. For folders of lists, which hold a few dozen."""
+    """Files under a path, which may be a pattern. For folders of lists, which hold a few dozen."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", False).load(path)
     return sorted(r.path for r in files.select("path").collect())
 
@@ -120,10 +120,11 @@ def read_tagged_dir(
     glob: str = DRUG_LIST_GLOB,
     sep: str = ",",
 ) -> DataFrame:
-    """Files of a folder as one table, each row tagged (``cond``) with a part of its file's name; each file read by its own header."""
+    """Files of a folder as one table, each row tagged (``cond``) with a part of its file's name; each file read by its own
+    header. What Spark wrote as a folder of that name counts as a file."""
     parts = []
-    for file in _files(spark, path, glob):
-        tag = re.search(pattern, file.rsplit("/", 1)[-1])
+    for file in _files(spark, f"{path}/{glob}", "*"):
+        tag = re.search(pattern, "/".join(file.split("/")[-2:]))
         parts.append(read_delimited(spark, file, schema, sep).select(F.lit(tag[1] if tag else "").alias("cond"), "*"))
     return _united(parts, spark, f"cond string, {schema}")
 

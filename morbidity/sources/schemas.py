@@ -16,8 +16,10 @@ INPATIENT_DIAGNOSIS = "patid long, epistart string, epiend string, icd string"
 INPATIENT_PROCEDURE = "patid long, evdate date, epistart date"
 INPATIENT_EPISODE = "patid long, admidate date, ethnos string"
 EMERGENCY_ATTENDANCE = "patid long, arrivaldate date, ethnos string"
+OUTPATIENT_VISIT = "patid long, apptdate string, ethnos string"
 OUTPATIENT_CLINICAL = "patid long, attendkey long, diag_01 string, diag_02 string, diag_03 string"
-OUTPATIENT_APPOINTMENT = "patid long, attendkey long, apptdate string, ethnos string"
+OUTPATIENT_APPOINTMENT = "patid long, attendkey long, apptdate string"
+MEDCODE_FILE = "Disease string, MedCodeId long, Descr string, System string"
 MEDCODE_LIST = "disease string, medcodeid long, descr string, system string"
 DISEASE_MAP = "Disease string, list_disease_real string"
 ICD_FILE = "Disease string, Category string, ICD10code string, ICD10codeDescr string, OPCS4code string"

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,9 +23,19 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
         df.write.mode("overwrite").parquet(path)
 
 
-def ingest(df: DataFrame, out: str) -> None:
-    """Text to Parquet. The input is never overwritten."""
-    write_table(df, out)
+def named(folder: str) -> Callable[[DataFrame, str], DataFrame]:
+    """Like ``stage``, but under plain names in a folder of the run's own: a table that is there already is read, not made
+    again, so that a run can be resumed and its interim tables looked at. Start in a new folder after a change of input or rules."""
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        path = f"{folder}/{name}"
+        try:
+            return df.sparkSession.read.schema(df.schema).parquet(path)
+        except AnalysisException:  # not there yet
+            df.write.parquet(path)
+            return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    return keep
 
 
 def write_reports(reports: dict[str, DataFrame], path: str) -> None:

@@ -32,7 +32,7 @@ def test_inpatient(make, rows):
 def test_outpatient(make, rows):
     op = make("patid long, attendkey long, diag_01 string, diag_02 string, diag_03 string",
               [(1, 1, "I10X", "", None), (1, 2, "I10", "E119", "I10.0"), (1, 3, "E119", None, None), (2, 1, "E119", None, None)])
-    seen = make(schemas.OUTPATIENT_APPOINTMENT, [(1, 1, "01/01/2010", "White"), (1, 2, "01/01/2010", "White"), (2, 2, "x", None)])
+    seen = make(schemas.OUTPATIENT_APPOINTMENT, [(1, 1, "01/01/2010"), (1, 2, "01/01/2010"), (2, 2, "x")])
     look = make(ICD, [("I10", "Hypertension", 9999999), ("I10.0", "Hypertension", 9999999), ("E11.9", "Diabetes", 9999999)])
     assert len(rows(diagnosis.outpatient_codes(op, CFG))) == 6
     assert rows(diagnosis.outpatient_dx(op, seen, look, CFG), "obsdate", "list_disease_real") == [

@@ -122,13 +122,14 @@ def test_disease_map_file(spark, tmp_path, rows):
         ("Atrial_fib_x", "Atrial fibrillation", 1), ("Gout", "Gout", 0)]
 
 
-def test_tables_and_ingest(spark, tmp_path, make, rows):
+def test_tables_and_named_tables(spark, tmp_path, make, rows):
     df = make("patid long, bucket int, x string", [(1, 0, "a"), (2, 1, "b")])
     writers.write_table(df, str(tmp_path / "t"), ["bucket"])
     assert sorted(os.listdir(tmp_path / "t"))[:4] and (tmp_path / "t" / "bucket=0").is_dir()
     assert rows(readers.read_table(spark, str(tmp_path / "t"), ["patid", "x"])) == [(1, "a"), (2, "b")]
-    writers.ingest(df, str(tmp_path / "i"))
-    assert rows(readers.read_table(spark, str(tmp_path / "i*"), ["x"], "x string")) == [("a",), ("b",)]
+    keep = writers.named(str(tmp_path / "n"))
+    assert rows(keep(df, "x")) == rows(df) == rows(keep(df.limit(0), "x"))  # what is there is not made again
+    assert rows(readers.read_table(spark, str(tmp_path / "n*/x"), ["x"], "x string")) == [("a",), ("b",)]
 
 
 def test_reports_and_stage(spark, tmp_path, make, rows):
