@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from morbidity.llm.decontaminate import op2_decontamination
 from morbidity.llm.jaccard_join import op3_jaccard_join
 from morbidity.llm.lang_id import op8_language_id
+from morbidity.llm.line_dedup import op5_line_dedup
 from morbidity.llm.mix import OP7_SQL, op7_source_mix
 from morbidity.llm.quality import OP9_SQL, op9_quality_rules
 from morbidity.llm.secrets import op10_secret_scan
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_warc": op4_warc,
+    "op5_line_dedup": op5_line_dedup,
     "op6_sharding": op6_sharding,
     "op7_source_mix": op7_source_mix,
     "op8_language_id": op8_language_id,
