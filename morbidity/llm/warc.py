@@ -39,6 +39,7 @@ def with_roles(pages: DataFrame, page_id: str = "page_id", html: str = "html") -
         .agg(F.min(page_id).alias("__first"), F.count("*").alias("__n"))
         .where("__n > 1")
     )
+    repeated = stage(repeated, "repeated")  # so that Spark knows its size, and shuffles payloads only if it is large
     joined = sized.join(repeated, F.col("__digest") == F.col("__d"), "left").drop("__d", "__n")
     own = F.col(page_id).eqNullSafe(F.col("__first"))
     return joined.withColumn("__first", F.when(~own, F.col("__first")))
