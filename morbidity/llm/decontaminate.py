@@ -239,3 +239,27 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(ids, 256).alias("items_sha256"),
         is_contaminated().alias("contaminated"),
     )
+
+
+_SQL_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+OP2_SQL = f"""
+with d as (select row_number() over () as rid, doc_id, {_SQL_WORDS} as ws from documents),
+i as (select cast(item_id as varchar) as item, ws, least({WINDOW}, len(ws)) as k
+  from (select item_id, {_SQL_WORDS} as ws from benchmark) where len(ws) > 0),
+iw as (select distinct item, k, array_to_string(ws[p:p+k-1], ' ') as gram
+  from (select *, unnest(generate_series(1, len(ws) - k + 1)) as p from i)),
+dw as (select rid, k, p, array_to_string(ws[p:p+k-1], ' ') as gram
+  from (select rid, ws, k, unnest(generate_series(1, len(ws) - k + 1)) as p from d cross join (select distinct k from iw))),
+hit as (select distinct dw.rid, dw.p, dw.k, iw.item from dw join iw on iw.gram = dw.gram and iw.k = dw.k),
+places as (select rid, count(distinct q) as n from (select rid, p + unnest(generate_series(0, k - 1)) as q from hit) group by rid),
+found as (select rid, count(distinct item) as n, string_agg(distinct item, ',' order by item) as ids
+  from hit where item is not null group by rid),
+whole as (
+  select doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(places.n, 0) as bigint) as n_hit,
+    cast(coalesce(found.n, 0) as bigint) as n_items, sha256(coalesce(ids, '')) as items_sha256
+  from d left join places on places.rid = d.rid left join found on found.rid = d.rid)
+select *, n_hit > 0 and 20 * n_hit >= n_words as contaminated from whole
+"""

@@ -332,3 +332,19 @@ def jaccard_keepers(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+OP3_SQL = rf"""
+with recursive d as (
+  select row_number() over () as rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents),
+s as (select distinct rid, array_to_string(ws[p:p+{WORDS - 1}], ' ') as gram
+  from (select rid, ws, unnest(generate_series(1, greatest(1, len(ws) - {WORDS - 1}))) as p from d where len(ws) > 0)),
+sizes as (select rid, count(*) as n from s group by rid),
+common as (select a.rid as x, b.rid as y, count(*) as c from s a join s b on a.gram = b.gram and a.rid <> b.rid group by a.rid, b.rid),
+links as (select x, y from common join sizes a on a.rid = x join sizes b on b.rid = y where 100 * c >= {PERCENT} * (a.n + b.n - c)),
+reach as (select rid, rid as r from d union select reach.rid, links.y from reach join links on links.x = reach.r)
+select d.doc_id, cast(coalesce(any_value(sizes.n), 0) as bigint) as n_shingles, min(o.doc_id) as component_id
+from d left join sizes on sizes.rid = d.rid join reach on reach.rid = d.rid join d o on o.rid = reach.r
+group by d.rid, d.doc_id
+"""

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from morbidity.llm.decontaminate import op2_decontamination
-from morbidity.llm.jaccard_join import op3_jaccard_join
+from morbidity.llm.decontaminate import OP2_SQL, op2_decontamination
+from morbidity.llm.jaccard_join import OP3_SQL, op3_jaccard_join
 from morbidity.llm.lang_id import op8_language_id
 from morbidity.llm.line_dedup import op5_line_dedup
 from morbidity.llm.mix import OP7_SQL, op7_source_mix
@@ -31,6 +31,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_decontamination": OP2_SQL,
+    "op3_jaccard_join": OP3_SQL,
     "op4_warc": OP4_SQL,
     "op7_source_mix": OP7_SQL,
     "op9_quality_rules": OP9_SQL,
