@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from morbidity.llm.common import table
 from morbidity.llm.mix import n_words
+from morbidity.sources.writers import stage
 
 MIN_WORDS = 10  # of a block that is deleted
 
@@ -86,11 +87,17 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_wo
     rk = F.xxhash64(text, doc_id)
     order = F.struct(F.col(doc_id).isNull().alias("x"), F.col(doc_id).alias("id"), rk.alias("rk"))
     lines = docs.select(order.alias("d"), F.posexplode(F.split(text, "\n")).alias("pos", "line")).select(
-        "d", "pos", F.xxhash64("line").alias("h"), n_words("line").cast("int").alias("words")
+        "d.*", "pos", F.xxhash64("line").alias("h"), n_words("line").cast("int").alias("words")
     )
-    held = lines.where("words > 0").groupBy("d", "h").agg(F.sort_array(F.collect_set("pos")).alias("places"), F.first("words").alias("words"))
-    first = held.groupBy("h").agg(F.min(F.struct("d", "places")).alias("f"), F.count("*").alias("n")).where("n > 1")
-    later = held.join(first.select("h", "f"), "h").where("d != f.d")
+    lines = stage(lines.where("words > 0"), "lines")
+    # most lines stand in one document; only the others go on
+    apart = F.min("rk") != F.max("rk")
+    shared = stage(lines.groupBy("h").agg(apart.alias("shared")).where("shared").select("h"), "shared")
+    met = lines.join(shared, "h", "left_semi").groupBy(F.struct("x", "id", "rk").alias("d"), "h")
+    held = stage(met.agg(F.sort_array(F.collect_set("pos")).alias("places"), F.first("words").alias("words")), "held")
+    # apart from the table that is joined to them, so that the rows of a hot line can be split
+    heads = stage(held.groupBy("h").agg(F.min(F.struct("d", "places")).alias("f")), "heads")
+    later = held.join(heads, "h").where("d != f.d")
     pairs = later.groupBy("d", F.col("f.d").alias("e")).agg(
         F.collect_list(F.struct("h", "words", F.col("places").alias("own"), F.col("f.places").alias("first"))).alias("lines")
     )
