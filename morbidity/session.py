@@ -1,4 +1,4 @@
-"""Session settings the joins and aggregations rely on. Every one can be set on a running session."""
+"""Session settings the joins and aggregations rely on. ``tuned`` sets them on the caller's running session, for all its plans."""
 
 from __future__ import annotations
 
