@@ -1,25 +1,31 @@
 """Line deduplication by pairwise alignment: blocks of lines that an earlier document has in the same order go from the later one.
 
-A line with words is a hash. Each shared hash leads to the first document that holds it (the smallest id), so a line that a third
-of all documents share makes one pair for each of them, and no pairs among them. Documents that a shared line brings
-together are aligned by patience diff: anchors are the lines that are rare in the strictest sense, once in either document; the longest
-run of anchors in the same order is kept, grows over equal neighbours, and the gaps between are aligned in the same way.
+A line with words is a hash. Adjacent shared lines make runs: from each line on, and back from it, as few lines as reach the least
+number of words of a block, twice it, four times it and so on; all shared lines of a document are one more run, for exact copies. Each run
+leads to the first document that holds it (the smallest id), so a run that a third of all documents share makes one pair for each of them,
+and no pairs among them. Any block that could be deleted consists of such runs, so some earlier document with each of them is met.
+Documents that meet are aligned on all their shared lines by patience diff: anchors are the lines that are rare in the
+strictest sense, once in either document; the longest run of anchors in the same order is kept, grows over equal neighbours, and the gaps
+between are aligned in the same way.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from morbidity.llm.common import table
 from morbidity.llm.mix import n_words
 from morbidity.sources.writers import stage
 
 MIN_WORDS = 10  # of a block that is deleted
+PRIME, BASE = (1 << 61) - 1, 0x1F3D5B79A2C4E68B  # of the hashes of runs
 
 
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -79,27 +85,78 @@ def deleted(lines: list[dict], min_words: int) -> list[int]:
     return out
 
 
+def runs(lines: list[tuple[int, int, int]], min_words: int) -> set[int]:
+    """Hashes of the runs of a document; ``lines``: place, hash, words, by place."""
+    places, hashes, words = zip(*lines)
+    rolled = list(accumulate(hashes, lambda x, h: (x * BASE + h) % PRIME, initial=0))
+    power = list(accumulate(hashes, lambda x, _: x * BASE % PRIME, initial=1))
+    upto = list(accumulate(words, initial=0))
+    key = lambda i, j: (rolled[j] - rolled[i] * power[j - i]) % PRIME
+    out = {~key(0, len(lines))} if upto[-1] >= min_words else set()  # its lines need not be adjacent: never equal to a run
+    cuts = [k for k in range(1, len(lines)) if places[k] != places[k - 1] + 1]
+    for begin, end in zip([0, *cuts], [*cuts, len(lines)]):
+        least = max(min_words, 1)
+        while least <= upto[end] - upto[begin]:
+            j = begin
+            for i in range(begin, end):
+                while j < end and upto[j] - upto[i] < least:
+                    j += 1
+                if upto[j] - upto[i] < least:
+                    break
+                out.add(key(i, j))
+            i = begin
+            for j in range(begin + 1, end + 1):
+                if upto[j] - upto[begin] >= least:
+                    while upto[j] - upto[i + 1] >= least:
+                        i += 1
+                    out.add(key(i, j))
+            least *= 2
+    return out
+
+
 def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """(rk, removed): for each later document that loses lines their places, from 0. ``rk`` is the hash of text and id.
 
     Documents come in order of id, null ids last, then of ``rk``; rows equal in id and text are one document. Null texts have no lines.
     """
     rk = F.xxhash64(text, doc_id)
-    order = F.struct(F.col(doc_id).isNull().alias("x"), F.col(doc_id).alias("id"), rk.alias("rk"))
-    lines = docs.select(order.alias("d"), F.posexplode(F.split(text, "\n")).alias("pos", "line")).select(
-        "d.*", "pos", F.xxhash64("line").alias("h"), n_words("line").cast("int").alias("words")
+    order = F.struct(F.col("id").isNull().alias("x"), "id", "rk")
+    lines = docs.select(F.col(doc_id).alias("id"), rk.alias("rk"), F.posexplode(F.split(text, "\n")).alias("pos", "line")).select(
+        "id", "rk", "pos", F.xxhash64("line").alias("h"), n_words("line").cast("int").alias("words")
     )
     lines = stage(lines.where("words > 0"), "lines")
     # most lines stand in one document; only the others go on
     apart = F.min("rk") != F.max("rk")
     shared = stage(lines.groupBy("h").agg(apart.alias("shared")).where("shared").select("h"), "shared")
-    met = lines.join(shared, "h", "left_semi").groupBy(F.struct("x", "id", "rk").alias("d"), "h")
-    held = stage(met.agg(F.sort_array(F.collect_set("pos")).alias("places"), F.first("words").alias("words")), "held")
-    # apart from the table that is joined to them, so that the rows of a hot line can be split
-    heads = stage(held.groupBy("h").agg(F.min(F.struct("d", "places")).alias("f")), "heads")
-    later = held.join(heads, "h").where("d != f.d")
-    pairs = later.groupBy("d", F.col("f.d").alias("e")).agg(
-        F.collect_list(F.struct("h", "words", F.col("places").alias("own"), F.col("f.places").alias("first"))).alias("lines")
+    met = stage(lines.join(shared, "h", "left_semi"), "met")
+    held = stage(met.groupBy("rk", "h").agg(F.sort_array(F.collect_set("pos")).alias("places"), F.first("words").alias("words")), "held")
+    whole = met.groupBy(order.alias("d")).agg(F.sort_array(F.collect_set(F.struct("pos", "h", "words"))).alias("lines"))
+
+    def keyed(batches):
+        for batch in batches:
+            at, sizes, keys = [], [], []
+            for k, lines in enumerate(batch.column(1).to_pylist()):
+                found = runs([(x["pos"], x["h"], x["words"]) for x in lines], min_words)
+                at += [k] * len(found)
+                sizes += [len(lines)] * len(found)
+                keys += found
+            columns = [batch.column(0).take(pa.array(at, pa.int64())), pa.array(sizes, pa.int32()), pa.array(keys, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["d", "n", "key"])
+
+    schema = T.StructType([whole.schema["d"], T.StructField("n", T.IntegerType()), T.StructField("key", T.LongType())])
+    found = stage(whole.mapInArrow(keyed, schema), "runs")
+    # apart from the table that is joined to them, so that the rows of a hot run can be split
+    heads = stage(found.groupBy("key").agg(F.min(F.struct("d", "n")).alias("f"), F.max("d").alias("last")).where("f.d != last"), "heads")
+    later = found.join(heads, "key").where("d != f.d")
+    met_with = later.select(F.col("d.rk").alias("rk"), F.col("f.d.rk").alias("first"), F.expr("f.n < n").alias("turned")).distinct()
+    # the lines of the shorter document are looked up in the longer one
+    short, long = F.expr("if(turned, first, rk)").alias("short"), F.expr("if(turned, rk, first)").alias("long")
+    from_short = met_with.select("turned", short, long).join(held.withColumnRenamed("rk", "short"), "short")
+    both = from_short.join(held.select(F.col("rk").alias("long"), "h", F.col("places").alias("others")), ["long", "h"])
+    pairs = both.groupBy(F.expr("if(turned, long, short)").alias("rk"), F.expr("if(turned, short, long)").alias("first")).agg(
+        F.collect_list(
+            F.struct("h", "words", F.expr("if(turned, others, places)").alias("own"), F.expr("if(turned, places, others)").alias("first"))
+        ).alias("lines")
     )
 
     def run(batches):
@@ -107,7 +164,7 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_wo
             gone = [deleted(lines, min_words) for lines in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(gone, pa.list_(pa.int32()))], names=["rk", "gone"])
 
-    gone = pairs.select("d.rk", "lines").mapInArrow(run, "rk long, gone array<int>").where(F.size("gone") > 0)
+    gone = pairs.select("rk", "lines").mapInArrow(run, "rk long, gone array<int>").where(F.size("gone") > 0)
     return gone.groupBy("rk").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("removed"))
 
 

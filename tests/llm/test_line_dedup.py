@@ -84,3 +84,48 @@ def test_a_line_that_all_share(spark, make):
     rows = [(i, f"own {i}\n{line}\nmore {i}") for i in range(500)]
     out = {r.doc_id: list(r.removed) for r in dedupe_lines(make("doc_id long, text string", rows)).collect()}
     assert out == {i: [1] if i else [] for i in range(500)}
+
+
+def brute(rows, min_words=10):
+    """Removed places by id: each document aligned with all earlier ones."""
+    docs = sorted((i, t.split("\n")) for i, t in rows if t is not None)
+    out = {}
+    for k, (i, own) in enumerate(docs):
+        gone = set()
+        for _, theirs in docs[:k]:
+            common = sorted({x for x in own if WORD.search(x)} & set(theirs))
+            places = lambda lines, line: [k for k, x in enumerate(lines) if x == line]
+            lines = [{"h": x, "words": len(WORD.findall(x)), "own": places(own, x), "first": places(theirs, x)} for x in common]
+            gone |= set(deleted(lines, min_words))
+        out[i] = sorted(gone)
+    return out
+
+
+def test_partners_by_overlap(make):
+    words = lambda tag, n: " ".join(f"{tag}{k}" for k in range(n))
+    short, lines = "a short line", [words(f"l{k}x", 4) for k in range(6)]
+    rows = [
+        (1, f"{short}\n{words('own', 30)}"),
+        (2, "\n".join(lines[:2] + [short] + lines[2:])),  # its short line is held by 1
+        (3, "\n".join(lines[:2] + [short] + lines[2:])),  # an exact copy
+        (4, "\n".join([words("p", 12)] + lines[4:] + [short, words("q", 3)])),  # only 8 words in a row
+        (5, "\n".join([words("r", 5)] + lines[1:2] + [short] + lines[2:4])),  # a part of 2
+    ]
+    got = {r.doc_id: list(r.removed) for r in dedupe_lines(make("doc_id long, text string", rows)).collect()}
+    assert got == brute(rows) == {1: [], 2: [], 3: list(range(7)), 4: [], 5: [1, 2, 3, 4]}
+
+
+def test_against_all_earlier_documents(make):
+    """Passages stand once in a document, and in no other order."""
+    rng = random.Random(3)
+    passages = [[" ".join(f"w{p}x{k}" for _ in range(rng.randint(1, 6))) for k in range(9)] for p in range(6)]
+    rows = []
+    for i in range(120):
+        passage, begin = rng.choice(passages), rng.randint(0, 5)
+        cut = passage[begin : begin + rng.randint(2, 9)]
+        cut.insert(rng.randint(0, len(cut)), f"own {i}")
+        rows.append((i, "\n".join(cut)) if rng.random() < 0.9 or not rows else (i, rng.choice(rows)[1]))
+    got = {r.doc_id: list(r.removed) for r in dedupe_lines(make("doc_id long, text string", rows)).collect()}
+    want = brute(rows)
+    assert got == want and sum(map(len, want.values())) > 100
+    assert {i: gone for (i, _), gone in plain(rows).items()} != want
