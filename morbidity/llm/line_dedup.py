@@ -4,6 +4,7 @@ A line with words is a hash. Adjacent shared lines make runs: from each line on,
 number of words of a block, twice it, four times it and so on; all shared lines of a document are one more run, for exact copies. Each run
 leads to the first document that holds it (the smallest id), so a run that a third of all documents share makes one pair for each of them,
 and no pairs among them. Any block that could be deleted consists of such runs, so some earlier document with each of them is met.
+Lines without words stand between no two neighbours, and go with the deleted lines around them.
 Documents that meet are aligned on all their shared lines by patience diff: anchors are the lines that are rare in the
 strictest sense, once in either document; the longest run of anchors in the same order is kept, grows over equal neighbours, and the gaps
 between are aligned in the same way.
@@ -85,6 +86,13 @@ def deleted(lines: list[dict], min_words: int) -> list[int]:
     return out
 
 
+def with_wordless(lines: list[dict], gone: list[int]) -> list[int]:
+    """From places among the lines with words to places among all lines, with those between two neighbours that both go."""
+    at = {n: p for x in lines for n, p in zip(x["own"], x["at"])}
+    out = set(gone)
+    return [p for n in gone for p in range(at[n], at[n + 1] if n + 1 in out else at[n] + 1)]
+
+
 def runs(lines: list[tuple[int, int, int]], min_words: int) -> set[int]:
     """Hashes of the runs of a document; ``lines``: place, hash, words, by place."""
     places, hashes, words = zip(*lines)
@@ -121,22 +129,23 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_wo
     """
     rk = F.xxhash64(text, doc_id)
     order = F.struct(F.col("id").isNull().alias("x"), "id", "rk")
-    lines = docs.select(F.col(doc_id).alias("id"), rk.alias("rk"), F.posexplode(F.split(text, "\n")).alias("pos", "line")).select(
-        "id", "rk", "pos", F.xxhash64("line").alias("h"), n_words("line").cast("int").alias("words")
-    )
-    lines = stage(lines.where("words > 0"), "lines")
+    line = lambda x, i: F.struct(i.alias("pos"), F.xxhash64(x).alias("h"), n_words(x).cast("int").alias("words"))
+    worded = F.filter(F.transform(F.split(text, "\n"), line), lambda x: x["words"] > 0)
+    # n: place among the lines with words, which are neighbours also across wordless lines
+    lines = docs.select(F.col(doc_id).alias("id"), rk.alias("rk"), F.posexplode(worded).alias("n", "x")).select("id", "rk", "n", "x.*")
+    lines = stage(lines, "lines")
     # most lines stand in one document; only the others go on
     apart = F.min("rk") != F.max("rk")
     shared = stage(lines.groupBy("h").agg(apart.alias("shared")).where("shared").select("h"), "shared")
     met = stage(lines.join(shared, "h", "left_semi"), "met")
-    held = stage(met.groupBy("rk", "h").agg(F.sort_array(F.collect_set("pos")).alias("places"), F.first("words").alias("words")), "held")
-    whole = met.groupBy(order.alias("d")).agg(F.sort_array(F.collect_set(F.struct("pos", "h", "words"))).alias("lines"))
+    held = stage(met.groupBy("rk", "h").agg(F.sort_array(F.collect_set(F.struct("n", "pos"))).alias("places"), F.first("words").alias("words")), "held")
+    whole = met.groupBy(order.alias("d")).agg(F.sort_array(F.collect_set(F.struct("n", "h", "words"))).alias("lines"))
 
     def keyed(batches):
         for batch in batches:
             at, sizes, keys = [], [], []
             for k, lines in enumerate(batch.column(1).to_pylist()):
-                found = runs([(x["pos"], x["h"], x["words"]) for x in lines], min_words)
+                found = runs([(x["n"], x["h"], x["words"]) for x in lines], min_words)
                 at += [k] * len(found)
                 sizes += [len(lines)] * len(found)
                 keys += found
@@ -153,15 +162,16 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_wo
     short, long = F.expr("if(turned, first, rk)").alias("short"), F.expr("if(turned, rk, first)").alias("long")
     from_short = met_with.select("turned", short, long).join(held.withColumnRenamed("rk", "short"), "short")
     both = from_short.join(held.select(F.col("rk").alias("long"), "h", F.col("places").alias("others")), ["long", "h"])
+    own = F.expr("if(turned, others, places)")
     pairs = both.groupBy(F.expr("if(turned, long, short)").alias("rk"), F.expr("if(turned, short, long)").alias("first")).agg(
         F.collect_list(
-            F.struct("h", "words", F.expr("if(turned, others, places)").alias("own"), F.expr("if(turned, places, others)").alias("first"))
+            F.struct("h", "words", own["n"].alias("own"), own["pos"].alias("at"), F.expr("if(turned, places, others)")["n"].alias("first"))
         ).alias("lines")
     )
 
     def run(batches):
         for batch in batches:
-            gone = [deleted(lines, min_words) for lines in batch.column(1).to_pylist()]
+            gone = [with_wordless(lines, deleted(lines, min_words)) for lines in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(gone, pa.list_(pa.int32()))], names=["rk", "gone"])
 
     gone = pairs.select("rk", "lines").mapInArrow(run, "rk long, gone array<int>").where(F.size("gone") > 0)
@@ -171,7 +181,7 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_wo
 def dedupe_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """All rows of ``docs`` with the text that is left, and ``removed``, the places of deleted lines (such a column is replaced).
 
-    Of exact copies the first stays whole, the others keep their wordless lines at most. Null text stays null, an empty text empty; rows
+    Of exact copies the first stays whole, the others keep at most the wordless lines before and after all others. Null text stays null, an empty text empty; rows
     equal in id and text are treated alike. Lines a document repeats itself are not touched, nor blocks of fewer than ``min_words`` words.
     """
     gone = removals(docs, doc_id, text, min_words).withColumnRenamed("rk", "__gone")

@@ -129,3 +129,18 @@ def test_against_all_earlier_documents(make):
     want = brute(rows)
     assert got == want and sum(map(len, want.values())) > 100
     assert {i: gone for (i, _), gone in plain(rows).items()} != want
+
+
+def test_wordless_lines_inside_blocks(make):
+    verses = [f"verse {k} has five words" for k in range(6)]
+    poem = "\n\n".join(verses)
+    rows = [
+        (1, poem), (2, poem), (3, "\n".join(verses)),
+        (4, "\n" + "own\n\n" + "\n \t\n\n".join(verses[2:5]) + "\n\nlast"),
+        (5, "\n\n".join([verses[0], "between", verses[1]])),
+    ]
+    got = {r.doc_id: (r.text, list(r.removed)) for r in dedupe_lines(make("doc_id long, text string", rows)).collect()}
+    assert got == {
+        1: (poem, []), 2: ("", list(range(11))), 3: ("", list(range(6))),
+        4: ("\nown\n\n\nlast", list(range(3, 10))), 5: (rows[4][1], []),
+    }
