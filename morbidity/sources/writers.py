@@ -6,7 +6,6 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,17 +22,21 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
         df.write.mode("overwrite").parquet(path)
 
 
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a write to the folder came to its end; one that broke off leaves no ``_SUCCESS``."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
 def named(folder: str) -> Callable[[DataFrame, str], DataFrame]:
-    """Like ``stage``, but under plain names in a folder of the run's own: a table that is there already is read, not made
-    again, so that a run can be resumed and its interim tables looked at. Start in a new folder after a change of input or rules."""
+    """Like ``stage``, but under plain names in a folder of the run's own: a table that is there already and whole is read, not
+    made again, so that a run can be resumed and its interim tables looked at; what a broken write left is written anew. Start in a new folder after a change of input or rules."""
 
     def keep(df: DataFrame, name: str) -> DataFrame:
         path = f"{folder}/{name}"
-        try:
-            return df.sparkSession.read.schema(df.schema).parquet(path)
-        except AnalysisException:  # not there yet
-            df.write.parquet(path)
-            return df.sparkSession.read.schema(df.schema).parquet(path)
+        if not finished(df.sparkSession, path):
+            df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
 
     return keep
 

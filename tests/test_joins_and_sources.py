@@ -132,6 +132,17 @@ def test_tables_and_named_tables(spark, tmp_path, make, rows):
     assert rows(readers.read_table(spark, str(tmp_path / "n*/x"), ["x"], "x string")) == [("a",), ("b",)]
 
 
+def test_resume_after_a_broken_write(tmp_path, make, rows):
+    df = make("patid long, x string", [(1, "a"), (2, "b")])
+    keep = writers.named(str(tmp_path))
+    (tmp_path / "empty" / "_temporary" / "0").mkdir(parents=True)
+    (tmp_path / "nothing").mkdir()
+    keep(df.limit(1), "half")
+    (tmp_path / "half" / "_SUCCESS").unlink()  # as if moving its files had broken off
+    for name in ("empty", "nothing", "half"):
+        assert rows(keep(df, name)) == rows(df) == rows(keep(df.limit(0), name))
+
+
 def test_reports_and_stage(spark, tmp_path, make, rows):
     df = make("report string, fyear int, x double", [("a", 2008, 1.0), ("a", 2009, 2.0), ("b", 2008, 3.0)])
     writers.write_reports({"score": df}, str(tmp_path))
