@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from morbidity.llm.decontaminate import OP2_SQL, op2_decontamination
+from morbidity.llm.hard_negatives import OP12_SQL, op12_hard_negatives
 from morbidity.llm.jaccard_join import OP3_SQL, op3_jaccard_join
 from morbidity.llm.lang_id import op8_language_id
 from morbidity.llm.line_dedup import op5_line_dedup
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_quality_rules": op9_quality_rules,
     "op10_secret_scan": op10_secret_scan,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
 ORACLE: dict[str, str] = {
@@ -36,4 +38,5 @@ ORACLE: dict[str, str] = {
     "op4_warc": OP4_SQL,
     "op7_source_mix": OP7_SQL,
     "op9_quality_rules": OP9_SQL,
+    "op12_hard_negatives": OP12_SQL,
 }
