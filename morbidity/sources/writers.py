@@ -65,6 +65,26 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def bucket_count(spark: SparkSession, n_bytes: int, most: int = 128 << 20) -> int:
+    """Buckets for a table of some bytes: none much larger than ``most``, and no fewer than a shuffle would have."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // most))
+
+
+def bucketed(df: DataFrame, name: str, keys: list[str], n_bytes: int, sort: list[str] | None = None) -> DataFrame:
+    """Like ``stage``, in buckets by ``keys``: later joins, aggregations and windows on the keys read it without an exchange.
+
+    Rows are brought to their bucket first, so that each has one file. The table is registered under ``name`` in the session's catalog, with its
+    files in the shared folder; dropping the table leaves them there.
+    """
+    spark = df.sparkSession
+    n = bucket_count(spark, n_bytes)
+    writer = df.repartition(n, *keys).write.option("compression", "zstd").bucketBy(n, *keys)
+    if sort:
+        writer = writer.sortBy(*sort)
+    writer.option("path", f"{shared_folder(spark)}/stage/{name}").saveAsTable(name, format="parquet")
+    return spark.table(name)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write the table to the shared folder and read it back. Runs the plan of ``df`` once.
 
