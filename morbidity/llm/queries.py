@@ -15,6 +15,7 @@ from morbidity.llm.mix import OP7_SQL, op7_source_mix
 from morbidity.llm.quality import OP9_SQL, op9_quality_rules
 from morbidity.llm.secrets import op10_secret_scan
 from morbidity.llm.shard import op6_sharding
+from morbidity.llm.suffix_dedup import op13_suffix_dedup
 from morbidity.llm.token_align import op11_token_alignment
 from morbidity.llm.token_count import op1_token_counts
 from morbidity.llm.warc import OP4_SQL, op4_warc
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secret_scan": op10_secret_scan,
     "op11_token_alignment": op11_token_alignment,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 ORACLE: dict[str, str] = {
