@@ -17,6 +17,7 @@ meets what was found without moving them.
 from __future__ import annotations
 
 import uuid
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,14 +47,17 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-_UP, _DOWN = _powers(BASE, SLICE + 256), _powers(pow(BASE, -1, 1 << 64), SLICE + 256)
+@lru_cache(maxsize=4)
+def _ways(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return _powers(BASE, n), _powers(pow(BASE, -1, 1 << 64), n)
 
 
 def gram_hashes(text: np.ndarray, size: int) -> np.ndarray:
     """A mixed polynomial hash of each gram, from prefix sums modulo 2 ** 64."""
+    up, down = _ways(max(SLICE, 1 << len(text).bit_length()))
     sums = np.zeros(len(text) + 1, np.uint64)
-    np.cumsum((text.astype(np.uint64) + np.uint64(1)) * _UP[: len(text)], out=sums[1:])
-    h = (sums[size:] - sums[:-size]) * _DOWN[: len(text) - size + 1]
+    np.cumsum((text.astype(np.uint64) + np.uint64(1)) * up[: len(text)], out=sums[1:])
+    h = (sums[size:] - sums[:-size]) * down[: len(text) - size + 1]
     h ^= h >> np.uint64(32)
     h *= _MIX
     h ^= h >> np.uint64(32)
@@ -223,12 +227,38 @@ def _windows(repeats: DataFrame) -> DataFrame:
     return repeats.groupBy("__block").agg(F.collect_list(F.struct("at", "bits")).alias("__gone"))
 
 
+def _narrowed(parts: list[np.ndarray], length: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Each stretch from its first to its last window whose hash occurs again here, and where that begins. Equal windows have equal hashes, so
+    that nothing is lost; most stretches share a gram and no window."""
+    text = np.concatenate(parts)
+    ends = np.cumsum([len(p) for p in parts])
+    begin = ends - [len(p) for p in parts]
+    windows = ends - begin - length + 1
+    whose = np.repeat(np.arange(len(parts)), windows)
+    nth = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
+    h = gram_hashes(text, length)[begin[whose] + nth]
+    order = np.argsort(h, kind="stable")
+    same = h[order[1:]] == h[order[:-1]]
+    twice = np.zeros(len(h), bool)
+    twice[order[1:][same]] = twice[order[:-1][same]] = True
+    hit, place = whose[twice], nth[twice]
+    first, last = np.zeros(len(parts), np.int64), np.full(len(parts), -length)
+    np.maximum.at(last, hit, place)
+    first[:] = windows
+    np.minimum.at(first, hit, place)
+    return [p[f : e + length] for p, f, e in zip(parts, first, last)], first
+
+
 def shard_repeats(shards: DataFrame, length: int) -> DataFrame:
     """(``__block``, at, bits): by shard, which windows of its stretches occur earlier in it. Groups are bounded: a shard's stretches."""
 
     def work(t: pa.Table) -> pa.Table:
         t = t.sort_by([("id", "ascending"), ("__block", "ascending"), ("at", "ascending")])
-        parts = [np.frombuffer(x, np.uint8) for x in t["bytes"].to_pylist()]
+        parts, firsts = _narrowed([np.frombuffer(x, np.uint8) for x in t["bytes"].to_pylist()], length)
+        used = np.flatnonzero([len(p) > 0 for p in parts])
+        if not len(used):
+            return _none()
+        parts = [parts[k] for k in used]
         sizes = np.array([len(p) for p in parts])
         starts = np.cumsum(sizes + 1) - sizes - 1
         text = np.zeros(int((sizes + 1).sum()), np.int64)
@@ -243,10 +273,14 @@ def shard_repeats(shards: DataFrame, length: int) -> DataFrame:
         np.minimum.at(least, run[whole[array]], array[whole[array]])
         earlier = np.zeros(len(text), bool)
         earlier[array] = least[run] < array
-        bits = [(earlier & whole)[s : s + n - length + 1] for s, n in zip(starts, sizes)]
-        some = [k for k, b in enumerate(bits) if b.any()]
-        packed = pa.array([np.packbits(bits[k]).tobytes() for k in some], pa.binary())
-        return pa.table([t["__block"].take(some), t["at"].take(some), packed], names=["__block", "at", "bits"]) if some else _none()
+        earlier &= whole
+        some, bits = [], []
+        for k, s, n in zip(used.tolist(), starts, sizes):
+            mine = earlier[s : s + n - length + 1]
+            if mine.any():
+                some.append(k)
+                bits.append(np.packbits(np.concatenate([np.zeros(firsts[k], bool), mine, np.zeros(8 * length, bool)])).tobytes())
+        return pa.table([t["__block"].take(some), t["at"].take(some), pa.array(bits, pa.binary())], names=["__block", "at", "bits"]) if some else _none()
 
     def _none() -> pa.Table:
         return pa.table([pa.array([], pa.int64()), pa.array([], pa.int32()), pa.array([], pa.binary())], names=["__block", "at", "bits"])
@@ -336,15 +370,19 @@ def remove_repeats(
     def cut(batches):
         for batch in batches:
             for k in range(batch.num_rows):
-                row = {n: batch.column(batch.schema.get_field_index(n))[k].as_py() for n in (*PACKED, "__gone")}
+                row = {n: batch.column(batch.schema.get_field_index(n))[k].as_py() for n in PACKED}
                 b = Block(row)
                 edge = np.zeros(len(b.text) + 1, np.int32)
-                for g in row["__gone"] or ():
-                    n = int(b.windows[g["at"]])
-                    bits = np.ones(n, bool) if g["bits"] is None else np.unpackbits(np.frombuffer(g["bits"], np.uint8), count=n).astype(bool)
-                    places = b.start[g["at"]] + np.flatnonzero(bits)
-                    np.add.at(edge, places, 1)
-                    np.add.at(edge, places + length, -1)
+                gone = batch.column(batch.schema.get_field_index("__gone"))[k].values
+                if gone is not None:
+                    at, bits = gone.field("at").to_numpy(), gone.field("bits")
+                    whole = np.asarray(bits.is_null())
+                    np.add.at(edge, b.start[at[whole]], 1)
+                    np.add.at(edge, b.start[at[whole]] + b.windows[at[whole]] - 1 + length, -1)
+                    for i, x in zip(at[~whole].tolist(), bits.drop_null().to_pylist()):
+                        places = b.start[i] + np.flatnonzero(np.unpackbits(np.frombuffer(x, np.uint8), count=int(b.windows[i])))
+                        edge[places] += 1
+                        edge[places + length] -= 1
                 out = np.cumsum(edge[:-1]) > 0
                 left, spans = [], []
                 for s, e in zip(b.ends - b.sizes, b.ends):

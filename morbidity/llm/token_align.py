@@ -12,6 +12,7 @@ ids has a bound that the vocabularies set, whatever the texts: ``pair_bound``.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from dataclasses import dataclass
@@ -26,6 +27,7 @@ from morbidity.llm.common import PART, by_batch, table
 from morbidity.sources.writers import stage
 
 PRODUCT_ROWS = 1 << 16  # rows of a product worked out at once
+_WIDE = re.compile("[^\x00-\u024f]")
 _LETTERS = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
 
 
@@ -46,7 +48,8 @@ class Csr:
         return np.repeat(np.arange(self.height), np.diff(self.indptr))
 
     def transposed(self) -> Csr:
-        order = np.argsort(self.indices, kind="stable")
+        ordered = (self.indices[1:] >= self.indices[:-1]).all()
+        order = slice(None) if ordered else np.argsort(self.indices, kind="stable")
         sizes = np.bincount(self.indices, minlength=self.width)
         return Csr(np.concatenate([[0], np.cumsum(sizes)]), self.rows()[order], self.data[order], self.height)
 
@@ -89,7 +92,11 @@ def product(a: Csr, b: Csr) -> Csr:
 
 
 class ByteLevel:
-    """A byte-level BPE vocabulary file of the tokenizers library. Encodes a space and the text."""
+    """A byte-level BPE vocabulary file of the tokenizers library. Encodes a space and the text.
+
+    Where the file's merges are in the order of their ids, the same vocabulary also makes a tiktoken encoding, which takes a third of
+    the time. It encodes texts of Latin letters (up to U+024F), where classes of characters are the same in both libraries; the rest is
+    left to the tokenizers library."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
@@ -105,9 +112,28 @@ class ByteLevel:
         for piece, i in self.model.get_vocab(with_added_tokens=True).items():
             self.bytes[i] = bytes(byte[c] for c in piece) if all(c in byte for c in piece) else piece.encode()
         self.lengths = np.array([len(x) for x in self.bytes], np.int64)
+        self.fast = self._ranked(path)
+
+    def _ranked(self, path: str):
+        import public_tokenizers
+        import tiktoken
+
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        ids, special = spec["model"]["vocab"], {t["content"] for t in spec["added_tokens"]}
+        merges = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
+        plain = spec["normalizer"] is None and spec["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+        if not plain or [ids[a + b] for a, b in merges] != list(range(256, 256 + len(merges))):
+            return None
+        ranks = {self.bytes[i]: i for piece, i in ids.items() if piece not in special}
+        return tiktoken.Encoding("from-file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, parts: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.model.encode_batch([" " + p for p in parts], add_special_tokens=False)]
+        out = [None if self.fast is None or _WIDE.search(p) else self.fast.encode_ordinary(" " + p) for p in parts]
+        rest = [k for k, x in enumerate(out) if x is None]
+        for k, x in zip(rest, self.model.encode_batch_fast([" " + parts[k] for k in rest], add_special_tokens=False)):
+            out[k] = x.ids
+        return out
 
 
 class Pieces:
@@ -168,8 +194,11 @@ class Aligned:
     def of(cls, a: list[int], b: list[int], va, vb) -> Aligned:
         a, b = np.array(a, np.int64), np.array(b, np.int64)
         a_ends, b_ends = np.cumsum(va.lengths[a]), np.cumsum(vb.lengths[b])
-        common = np.intersect1d(a_ends, b_ends, assume_unique=False)
-        return cls(a, b, a_ends, b_ends, np.searchsorted(common, a_ends), np.searchsorted(common, b_ends), len(common))
+        ends = np.zeros((2, max([0, *a_ends[-1:], *b_ends[-1:]]) + 1), bool)
+        ends[0, a_ends] = ends[1, b_ends] = True
+        common = ends.all(axis=0)
+        last_a, last_b = common[a_ends], common[b_ends]  # tokens that end their group
+        return cls(a, b, a_ends, b_ends, np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b, int(common.sum()))
 
     @property
     def size(self) -> int:

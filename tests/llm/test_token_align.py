@@ -125,6 +125,15 @@ def test_documents(spark, documents):
     assert sum(r[3] for r in got) > 1000
 
 
+def test_both_libraries_encode_latin_texts_alike(documents):
+    v = vocabulary(A)
+    assert v.fast is not None
+    rng = np.random.default_rng(2)
+    texts = ["".join(map(chr, rng.choice(0x250, 40))) for _ in range(1500)] + ["".join(map(chr, rng.choice([9, 10, 13, 32, 32, 39, 65, 115, 116, 133, 160, 48], 30))) for _ in range(1500)]
+    texts += [chr(a) + chr(b) + "s 's" for a in range(0x250) for b in (32, 65, 160)] + [r.text for r in documents.collect() if r.text] + ["<|endoftext|> x"]
+    assert v.encode(texts) == [x.ids for x in v.model.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+
+
 def test_cuts_do_not_change_an_encoding(documents):
     va, vb = vocabulary(A), vocabulary(B)
     texts = [r.text for r in documents.collect() if r.text and len(r.text) > 200][:40]
