@@ -19,7 +19,8 @@ import re
 from functools import lru_cache
 
 SPACE = "▁"  # how the vocabulary writes a space
-MAX_ENTRIES = 600_000  # transitions kept, and words kept; beyond it they are worked out again when met
+MAX_ENTRIES = 200_000  # transitions kept, and words kept; beyond it all are dropped, and worked out again when met
+LONG = 40  # characters of a word that is walked anew each time
 _RUNS = re.compile(f"{SPACE}*[^{SPACE}\n]*\n?")
 
 
@@ -134,7 +135,9 @@ class Transducer:
         return self.cost[c]
 
     def forget(self) -> None:
-        """Drop all states but the start; they are made again when met."""
+        """Drop all states but the start, and all that was kept beside them; they are made again when met."""
+        self.words.clear()
+        self._follows.clear()
         del self.states[1:], self.steps[1:]
         self.steps[0].clear()
         self.number = {self.states[0]: 0}
@@ -157,7 +160,9 @@ class Transducer:
         n = self.words.get(word)
         if n is None:
             n = self.walk(word)
-            if len(self.words) < self.max_entries:
+            if len(word) <= LONG:
+                if len(self.words) >= self.max_entries:
+                    self.words.clear()
                 self.words[word] = n
         return n
 
