@@ -533,7 +533,13 @@ FINAL["written_reports"] = f"{FINAL['score_crude']} union all {FINAL['score_stan
 
 FINAL["deprivation_file"] = "select * from deprivation"
 FINAL["drug_list_folder"] = "select * from drug_list"
-FINAL["study_from_files"] = FINAL["panel_final"]
+FINAL["study_from_files"] = FINAL["panel_refreshed"] = FINAL["panel_bucketed"] = FINAL["panel_final"]
+FINAL["unlike_files"] = """
+select o_orderkey as orderid, o_custkey as custid, cast(o_orderdate as date) as made, round(o_totalprice, 2) as total from {orders}"""
+FINAL["rejected_rows"] = """
+select 'o_orderkey' as "column", concat(cast(o_orderkey as string), 'x') as value from {orders} where o_orderkey % 10 = 0
+union all
+select 'total' as "column", 'none' as value from {orders} where o_orderkey % 7 = 0"""
 STEPS["o_op_repaired"] = """
 select patid, apptdate as obsdate, case when length(s) <= 3 or substr(s, 4) = 'X' then substr(s, 1, 3)
   else concat(substr(s, 1, 3), '.', replace(substr(s, 4, 1), 'X', '0')) end as ICD10code

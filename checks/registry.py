@@ -33,8 +33,8 @@ from morbidity.operators import (
     spells,
     standardise,
 )
-from morbidity.plans import from_files, study
-from morbidity.sources import readers, schemas, writers
+from morbidity.plans import from_files, refresh, study
+from morbidity.sources import files, readers, schemas, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SPELL = list(spells.SPELL)
@@ -545,26 +545,28 @@ def write_raw_files(f: Fixture, root: str) -> None:
     tables = {name: getattr(f.tables, name) for name in from_files.EVENTS if name != "procedure"}
     tables["procedure"] = f.procedures
     for i, (name, df) in enumerate(tables.items()):
-        schema = dict(part.split() for part in from_files.EVENTS[name].split(", "))
+        source = from_files.EVENTS[name]
+        in_file = {v: k for k, v in source.renamed.items()}
         picked = []
-        for column, kind in schema.items():
+        for column, kind in source.fields():
             value = F.col(column) if column in df.columns else F.lit(None)
             day = kind == "date" or dict(df.dtypes).get(column) == "date"
             text = F.date_format(value, "dd/MM/yyyy") if day else value.cast("string")
-            picked.append(text.alias(f"e_{column}" if i % 2 else column))
+            there = in_file.get(column, column)
+            picked.append(text.alias(f"e_{there}" if i % 2 else there))
         picked = [*picked[::-1], F.lit("z").alias("more")] if i % 3 else picked
         df.select(*picked).write.option("sep", "\t").option("header", True).csv(f"{root}/{name}")
-    even = f.code_file.where("MedCodeId % 2 = 0 or System is null").select("System", "MedCodeId", "Disease", "Descr")
+    even = f.code_file.where("MedCodeId % 2 = 0 or System is null").select("system", "medcodeid", "disease", "descr")
     odd = f.code_file.where("not (MedCodeId % 2 = 0 or System is null)").select("Disease", F.lit(1).alias("n"), "MedCodeId", "Descr", "System")
     even.write.option("header", True).csv(f"{root}/codelists")
     odd.write.option("header", True).mode("append").csv(f"{root}/codelists")
     f.icd_file.write.option("header", True).csv(f"{root}/icd")
     f.disease_map.withColumnRenamed("list_disease_real", "Disease (REAL)").write.option("header", True).csv(f"{root}/disease_map")
     _write_drug_lists(f, f"{root}/drug_lists")
-    lookups = {"gemscript_map": f.gemscript_map, "products": f.products, "gp_ethnicity_lookup": f.ethnic_codes,
-               "hospital_ethnicity_lookup": f.ethnic_groups}
-    for name, df in lookups.items():
-        df.write.option("header", True).csv(f"{root}/{name}")
+    lookups = {"gemscript_map": (f.gemscript_map, "|"), "products": (f.products, "\t"), "gp_ethnicity_lookup": (f.ethnic_codes, ","),
+               "hospital_ethnicity_lookup": (f.ethnic_groups, "\t")}
+    for name, (df, sep) in lookups.items():
+        df.write.option("header", True).option("sep", sep).csv(f"{root}/{name}")
 
 
 @query
@@ -577,6 +579,70 @@ def study_from_files(f: Fixture) -> DataFrame:
     return whole.selectExpr(*kept, *[f"round({c}, 6) as {c}" for c in ["weight", *PROPS]], *INCS)
 
 
+@query
+def unlike_files(f: Fixture) -> DataFrame:
+    """Orders in 200 files that differ in the order, case and prefix of their columns, in further columns and in separator; one scan reads those of a separator."""
+    path = _folder(f, "unlike")
+    write_unlike_files(f, path)
+    return files.parsed(files.read_source(f.spark, f"{path}/file=*", ORDERS))
+
+
+ORDERS = files.Source("orderid long, custid long, made date, total double", prefix="o_", renamed={"order key": "orderid", "cust": "custid"})
+
+
+def write_unlike_files(f: Fixture, path: str, n: int = 200) -> None:
+    """A header and lines for each file; file numbers, taken by remainders, choose the shape."""
+    number = F.pmod(F.col("o_orderkey"), F.lit(n)).cast("int")
+    values = {"id": F.col("o_orderkey").cast("string"), "cust": F.col("o_custkey").cast("string"),
+              "made": F.date_format("o_orderdate", "dd/MM/yyyy"), "total": F.format_string("%.2f", "o_totalprice"), "more": F.lit("x")}
+    shapes = (
+        ("\t", {"id": "o_orderid", "cust": "o_custid", "made": "o_made", "total": "o_total"}),
+        ("\t", {"more": "note", "total": "TOTAL", "made": "Made", "cust": "Cust", "id": "Order Key"}),
+        ("|", {"made": "made", "id": "ORDERID", "more": "x", "total": "total", "cust": "custid"}),
+    )
+    line, head = F.lit(None), F.lit(None)
+    for k, (sep, columns) in enumerate(shapes):
+        mine = F.col("file") % len(shapes) == k
+        line = F.when(mine, F.concat_ws(sep, *[values[c] for c in columns])).otherwise(line)
+        head = F.when(mine, F.lit(sep.join(columns.values()))).otherwise(head)
+    lines = f.base("orders").withColumn("file", number).select("file", F.lit(1).alias("nth"), line.alias("value"))
+    heads = f.spark.range(n).select(F.col("id").cast("int").alias("file")).select("file", F.lit(0).alias("nth"), head.alias("value"))
+    whole = lines.unionByName(heads).repartition("file").sortWithinPartitions("file", "nth")
+    whole.select("file", "value").write.partitionBy("file").text(path)
+
+
+@query
+def rejected_rows(f: Fixture) -> DataFrame:
+    """Text that does not parse, by column, found in the pass that writes the table."""
+    path, source = _folder(f, "orders"), files.Source("o_orderkey long, made date, total double")
+    broken = f.base("orders").select(
+        F.concat(F.col("o_orderkey").cast("string"), F.when(F.col("o_orderkey") % 10 == 0, F.lit("x")).otherwise(F.lit(""))).alias("O_ORDERKEY"),
+        F.date_format("o_orderdate", "dd/MM/yyyy").alias("made"),
+        F.when(F.col("o_orderkey") % 7 == 0, F.lit("none")).when(F.col("o_orderkey") % 7 == 1, F.lit(" ")).otherwise(F.format_string("%.2f", "o_totalprice")).alias("total"),
+    )
+    broken.write.option("header", True).csv(path)
+    read = writers.stage(files.read_source(f.spark, path, source), "orders")
+    return files.rejects(read).select("column", "value")
+
+
+@query
+def panel_refreshed(f: Fixture) -> DataFrame:
+    """A panel made without the observations of some patients, then brought up to date: only their buckets are made again."""
+    folder = _folder(f, "refreshed")
+    refresh.refresh(replace(f.tables, observation=f.observation.where("patid % 50 <> 3")), CFG, folder, 64)
+    whole = refresh.refresh(f.tables, CFG, folder, 64)
+    kept = [c for c in DEMOGRAPHICS if c != "weight"]
+    return whole.selectExpr(*kept, *[f"round({c}, 6) as {c}" for c in ["weight", *PROPS]], *INCS)
+
+
+@query
+def panel_bucketed(f: Fixture) -> DataFrame:
+    """The panel from tables that are stored by patient."""
+    tables, keep = study.by_patient(f.tables, 8)
+    kept = [c for c in DEMOGRAPHICS if c != "weight"]
+    return study.study_panel(tables, CFG, keep).selectExpr(*kept, *[f"round({c}, 6) as {c}" for c in ["weight", *PROPS]], *INCS)
+
+
 # ---------------------------------------------------------------- options
 @query
 def outpatient_dx_repaired(f: Fixture) -> DataFrame:

@@ -8,7 +8,7 @@ the patient.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame
 
@@ -32,7 +32,7 @@ from morbidity.operators import (
     standardise,
 )
 from morbidity.operators.joins import restrict_to
-from morbidity.sources.writers import stage
+from morbidity.sources.writers import by_key, stage
 
 
 @dataclass(frozen=True)
@@ -60,7 +60,7 @@ class Tables:
     procedure: DataFrame | None = None
 
 
-#: Writes a table under a name and gives it back: ``stage``, or ``writers.named`` for tables that a later run finds again.
+#: Writes a table under a name and gives it back: ``stage``, ``writers.Addressed`` for tables that a later run finds again, or ``writers.by_key``.
 Keep = Callable[[DataFrame, str], DataFrame]
 
 
@@ -144,13 +144,26 @@ def study_panel(t: Tables, cfg: Config, keep: Keep = stage) -> DataFrame:
     Patients, coded observations and hospital diagnoses each feed several steps, so they are written once
     to the shared folder; all are far smaller than the events they come from.
     """
-    eligible = keep(eligible_patients(t, cfg), "patients")
+    return panel_of(t, keep(eligible_patients(t, cfg), "patients"), cfg, keep)
+
+
+def panel_of(t: Tables, eligible: DataFrame, cfg: Config, keep: Keep = stage) -> DataFrame:
+    """The panel of given patients, as ``eligible_patients`` has them."""
     observations = keep(coded_events(t, eligible, cfg), "observations")
     permanent, found = diagnoses(t, eligible, observations, cfg, keep)
     patients = demographics.patient_table(eligible, t.deprivation, ethnicity(t, observations, cfg))
     return panel.assemble_panel(patients, permanent, found, cfg)
 
 
+def by_patient(t: Tables, n: int) -> tuple[Tables, Keep]:
+    """The tables with a patient in ``n`` buckets by patient, and the ``Keep`` that stores interim tables alike: with both, no raw or coded event is
+    moved by patient. Spark forgets the buckets where sources are united; by then rows are reduced to patient, condition and day. Worth
+    its one exchange where several panels are made from one extract."""
+    keep = by_key("patid", n)
+    own = {f.name: getattr(t, f.name) for f in fields(t)}
+    return Tables(**{k: keep(d, k) if d is not None and "patid" in d.columns else d for k, d in own.items()}), keep
+
+
 def reported_rows(panel_df: DataFrame, cfg: Config) -> DataFrame:
     standard = standardise.standard_population(panel_df.sparkSession, cfg)
     return standardise.active_rows(score.with_score(panel_df, cfg), standard, cfg)
@@ -170,7 +183,7 @@ def prevalence_reports(cells: DataFrame, cfg: Config) -> DataFrame:
     return crude.unionByName(standard)
 
 
-def study_reports(t: Tables, cfg: Config, keep: Keep = stage) -> dict[str, DataFrame]:
-    """Both report families, from one table of cells."""
-    cells = keep(standardise.report_cells(reported_rows(study_panel(t, cfg, keep), cfg), cfg), "cells")
+def study_reports(panel_df: DataFrame, cfg: Config, keep: Keep = stage) -> dict[str, DataFrame]:
+    """Both report families, from one table of cells of a panel, which should be a written one."""
+    cells = keep(standardise.report_cells(reported_rows(panel_df, cfg), cfg), "cells")
     return {"score": score_reports(cells, cfg), "prevalence": prevalence_reports(cells, cfg)}

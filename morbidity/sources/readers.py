@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from morbidity.config import DRUG_LIST_GLOB, DRUG_LIST_TAG, Config
+from morbidity.sources.files import Source, parsed, read_source
 
 
 def read_table(
@@ -88,28 +87,12 @@ def read_delimited(
     return typed(raw_text(spark, path, sep), schema, prefix, optional, date_format)
 
 
-def _files(spark: SparkSession, path: str, glob: str) -> list[str]:
-    """Files under a path, which may be a pattern. For folders of lists, which hold a few dozen."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", False).load(path)
-    return sorted(r.path for r in files.select("path").collect())
-
-
-def _united(parts: list[DataFrame], spark: SparkSession, schema: str) -> DataFrame:
-    if not parts:
-        return spark.createDataFrame([], schema)
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
-
-
 def read_codelist_dir(spark: SparkSession, path: str, schema: str, optional: tuple[str, ...] = ()) -> DataFrame:
-    """All CSV files directly in a folder, as one table; sub-folders are not read.
+    """All CSV files directly in a folder, as one table from one scan; sub-folders are not read.
 
-    The files may differ in the order and number of their columns: each is read by its own header.
+    The files may differ in the order, number and case of their columns: each is read by its own header.
     """
-    parts = [read_delimited(spark, file, schema, ",", optional=optional) for file in _files(spark, path, "*.csv")]
-    return _united(parts, spark, schema)
+    return parsed(read_source(spark, f"{path}/*.csv", Source(schema, optional=optional, separators=","), folders=False))
 
 
 def read_tagged_dir(
@@ -120,13 +103,9 @@ def read_tagged_dir(
     glob: str = DRUG_LIST_GLOB,
     sep: str = ",",
 ) -> DataFrame:
-    """Files of a folder as one table, each row tagged (``cond``) with a part of its file's name; each file read by its own
+    """Files of a folder as one table from one scan, each row tagged (``cond``) with a part of its file's name; each file read by its own
     header. What Spark wrote as a folder of that name counts as a file."""
-    parts = []
-    for file in _files(spark, f"{path}/{glob}", "*"):
-        tag = re.search(pattern, "/".join(file.split("/")[-2:]))
-        parts.append(read_delimited(spark, file, schema, sep).select(F.lit(tag[1] if tag else "").alias("cond"), "*"))
-    return _united(parts, spark, f"cond string, {schema}")
+    return parsed(read_source(spark, f"{path}/{glob}", Source(schema, separators=sep), tag=pattern))
 
 
 def drop_all_null_columns(df: DataFrame) -> DataFrame:
@@ -140,11 +119,6 @@ def strip_prefix(df: DataFrame, prefix: str = "e_") -> DataFrame:
     return df.withColumnsRenamed({c: c.removeprefix(prefix) for c in df.columns if c.startswith(prefix)})
 
 
-def snake_case(df: DataFrame) -> DataFrame:
-    """Column names in lower case with underscores."""
-    return df.withColumnsRenamed({c: c.lower().replace(" ", "_").replace("-", "_") for c in df.columns})
-
-
 def clean_disease_map(raw: DataFrame, cfg: Config) -> DataFrame:
     """The disease map: underscored names, one label corrected, and whether the condition is studied."""
     kept = raw.withColumnsRenamed({"Disease (REAL)": "list_disease_real"})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -9,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+REPORT_ORDER = ("fyear", "agecat_ord", "gender", "imd2015_decile")
+
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Parquet, in folders by the given columns.
@@ -28,23 +32,61 @@ def finished(spark: SparkSession, path: str) -> bool:
     return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
 
 
-def named(folder: str) -> Callable[[DataFrame, str], DataFrame]:
-    """Like ``stage``, but under plain names in a folder of the run's own: a table that is there already and whole is read, not
-    made again, so that a run can be resumed and its interim tables looked at; what a broken write left is written anew. Start in a new folder after a change of input or rules."""
-
-    def keep(df: DataFrame, name: str) -> DataFrame:
-        path = f"{folder}/{name}"
+def plan_print(df: DataFrame, known: str = "") -> str:
+    """A hash of what a table is made from: its plan, whose expressions hold code and settings, and the names, sizes and times of the files
+    that it reads. Files under ``known`` stand by name alone, because their names tell what they were made from. Data that was handed to Spark row by
+    row is not looked at. Equal plans built in other sessions give the same."""
+    conf, plan = df.sparkSession.conf, df._jdf.queryExecution().analyzed()
+    before = conf.get("spark.sql.debug.maxToStringFields")
+    conf.set("spark.sql.debug.maxToStringFields", 2**31 - 1)  # all columns
+    try:
+        text = re.sub(r"lambda \w+#", "lambda #", plan.treeString())
+    finally:
+        conf.set("spark.sql.debug.maxToStringFields", before)
+    ids: dict[str, str] = {}
+    text = re.sub(r"#(\d+)", lambda m: f"#{ids.setdefault(m[1], str(len(ids)))}", text)
+    lines, leaves = [text], plan.collectLeaves()
+    for leaf in (leaves.apply(i) for i in range(leaves.length())):
+        if leaf.getClass().getSimpleName() != "LogicalRelation":
+            continue
+        location = leaf.relation().location()
+        roots = [location.rootPaths().apply(i).toString() for i in range(location.rootPaths().length())]
+        lines += sorted(roots)
+        if known and all(known in r for r in roots):
+            continue
+        files = location.allFiles()
+        seen = (files.apply(i) for i in range(files.length()))
+        lines += sorted(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}" for f in seen)
+    return hashlib.sha256("\n".join(lines).encode()).hexdigest()
+
+
+class Addressed:
+    """Like ``stage``, under names in a folder that runs share: ``folder/name/print``, where the print tells what the table was made from
+    (``plan_print``). A whole table of the same print is read, not made again. So a run that broke off goes on where it was, and after a change of files, code lists or
+    settings a run makes anew what depends on it, and only that. Older tables stay until they are deleted."""
+
+    def __init__(self, folder: str):
+        self.folder = folder
+
+    def path(self, df: DataFrame, name: str) -> str:
+        return f"{self.folder}/{name}/{plan_print(df, self.folder)[:20]}"
+
+    def has(self, df: DataFrame, name: str) -> bool:
+        return finished(df.sparkSession, self.path(df, name))
+
+    def __call__(self, df: DataFrame, name: str, on_write: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+        path = self.path(df, name)
         if not finished(df.sparkSession, path):
-            df.write.mode("overwrite").parquet(path)
+            on_write(df).write.mode("overwrite").parquet(path)
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    return keep
-
 
 def write_reports(reports: dict[str, DataFrame], path: str) -> None:
-    """Report families as one table per family, in folders by report name."""
+    """Report families as one table per family, in folders by report name. A report is one file, its rows in order: it has a row for each
+    year and group, so it is small whatever the panel's size."""
     for family, report in reports.items():
-        write_table(report, f"{path}/{family}", ["report"])
+        one_each = report.repartition(F.col("report")).sortWithinPartitions("report", *[c for c in REPORT_ORDER if c in report.columns])
+        one_each.write.mode("overwrite").partitionBy("report").parquet(f"{path}/{family}")
 
 
 def read_report(spark: SparkSession, path: str, family: str, report: str) -> DataFrame:
@@ -70,14 +112,14 @@ def bucket_count(spark: SparkSession, n_bytes: int, most: int = 128 << 20) -> in
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // most))
 
 
-def bucketed(df: DataFrame, name: str, keys: list[str], n_bytes: int, sort: list[str] | None = None) -> DataFrame:
+def bucketed(df: DataFrame, name: str, keys: list[str], n_bytes: int, sort: list[str] | None = None, n: int | None = None) -> DataFrame:
     """Like ``stage``, in buckets by ``keys``: later joins, aggregations and windows on the keys read it without an exchange.
 
     Rows are brought to their bucket first, so that each has one file. The table is registered under ``name`` in the session's catalog, with its
     files in the shared folder; dropping the table leaves them there.
     """
     spark = df.sparkSession
-    n = bucket_count(spark, n_bytes)
+    n = n or bucket_count(spark, n_bytes)
     writer = df.repartition(n, *keys).write.option("compression", "zstd").bucketBy(n, *keys)
     if sort:
         writer = writer.sortBy(*sort)
@@ -85,6 +127,18 @@ def bucketed(df: DataFrame, name: str, keys: list[str], n_bytes: int, sort: list
     return spark.table(name)
 
 
+def by_key(key: str, n: int) -> Callable[[DataFrame, str], DataFrame]:
+    """Like ``stage``; tables with the key are kept in ``n`` buckets by it, sorted, so that joins, aggregations and windows on the key need no exchange
+    and joins of two such tables no sort either."""
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        if key not in df.columns:
+            return stage(df, name)
+        return bucketed(df, f"{name}_{uuid.uuid4().hex}", [key], 0, [key], n)
+
+    return keep
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write the table to the shared folder and read it back. Runs the plan of ``df`` once.
 

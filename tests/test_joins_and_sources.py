@@ -3,9 +3,11 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from checks import registry
+from checks.adapters import Fixture
 from morbidity.config import Config
 from morbidity.operators import joins
-from morbidity.sources import readers, schemas, writers
+from morbidity.sources import files, readers, schemas, writers
 
 CFG = Config()
 
@@ -107,10 +109,45 @@ def test_tagged_folder(spark, tmp_path, rows):
     assert rows(out) == [("CON150", "g1"), ("CON150", "g2"), ("PNC166", "g3")]
 
 
+def test_unlike_files_are_one_scan(spark, tmp_path, rows):
+    _write(tmp_path / "a b", "1.txt", "\ufeffe_patid\tE_DOD\tmatch_rank\n1\t05/04/2010\t2\n2\t31/02/2010\tx\n")
+    _write(tmp_path / "a b", "2.txt", "Rank\tnote\tPATID\n7\tz\t3\n\t\t4\n5\n")
+    _write(tmp_path / "a b", "3.txt", "e_dod\tmatch_rank\tpatid\n")
+    _write(tmp_path / "a b", "_SUCCESS", "")
+    source = files.Source(schemas.DEATH_REGISTER, prefix="e_", optional=("dod",), renamed={"rank": "match_rank"})
+    read = files.read_source(spark, str(tmp_path / "a b"), source)
+    assert rows(files.parsed(read)) == sorted([(1, "2010-04-05", 2), (2, None, None), (3, None, 7), (4, None, None), (None, None, 5)], key=repr)
+    assert rows(files.rejects(read), "column", "value") == [("dod", "31/02/2010"), ("match_rank", "x")]
+    assert {r.file.split("/")[-1] for r in files.rejects(read).collect()} == {"1.txt"}
+    assert read._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+    with pytest.raises(ValueError, match="dod"):
+        files.read_source(spark, str(tmp_path / "a b"), files.Source(schemas.DEATH_REGISTER, renamed={"rank": "match_rank"}, prefix="e_"))
+    assert files.read_source(spark, str(tmp_path / "none*"), source).collect() == []
+
+
+def test_two_hundred_unlike_files_are_a_scan_for_each_separator(spark, tmp_path):
+    f = Fixture(spark, "/root/testdata/sf0.001")
+    registry.write_unlike_files(f, str(tmp_path / "u"))
+    read = files.read_source(spark, str(tmp_path / "u/file=*"), registry.ORDERS)
+    assert len(os.listdir(tmp_path / "u")) > 200  # with Spark's mark
+    assert read._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 2
+    assert files.parsed(read).count() == f.base("orders").count() and files.rejects(read).isEmpty()
+
+
+def test_bucketed_tables_meet_without_an_exchange(spark, make):
+    keep = writers.by_key("patid", 4)
+    a = keep(spark.range(1000).select((F.col("id") % 90).alias("patid"), "id"), "a")
+    b = keep(spark.range(80).select(F.col("id").alias("patid"), F.lit(1).alias("x")), "b")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    joined = a.hint("merge").join(b, "patid").groupBy("patid").agg(F.max("id"))
+    assert "Exchange" not in plan(joined) and joined.count() == 80
+    assert "Exchange" not in plan(a.groupBy("patid", "id").count())
+    assert keep(spark.range(3), "c").count() == 3
+
+
 def test_column_names_and_empty_columns(make, rows):
     df = make("e_patid long, name_e_x string, `Date Of-Birth` string", [(1, None, "a"), (2, None, None)])
     assert readers.strip_prefix(df).columns == ["patid", "name_e_x", "Date Of-Birth"]
-    assert readers.snake_case(df).columns == ["e_patid", "name_e_x", "date_of_birth"]
     assert readers.drop_all_null_columns(df).columns == ["e_patid", "Date Of-Birth"]
 
 
@@ -127,20 +164,46 @@ def test_tables_and_named_tables(spark, tmp_path, make, rows):
     writers.write_table(df, str(tmp_path / "t"), ["bucket"])
     assert sorted(os.listdir(tmp_path / "t"))[:4] and (tmp_path / "t" / "bucket=0").is_dir()
     assert rows(readers.read_table(spark, str(tmp_path / "t"), ["patid", "x"])) == [(1, "a"), (2, "b")]
-    keep = writers.named(str(tmp_path / "n"))
-    assert rows(keep(df, "x")) == rows(df) == rows(keep(df.limit(0), "x"))  # what is there is not made again
-    assert rows(readers.read_table(spark, str(tmp_path / "n*/x"), ["x"], "x string")) == [("a",), ("b",)]
+    keep = writers.Addressed(str(tmp_path / "n"))
+    first, again = keep(df, "x"), keep(df, "x")
+    assert rows(first) == rows(again) == rows(df) and first.inputFiles() == again.inputFiles()
+    assert rows(readers.read_table(spark, str(tmp_path / "n*/x/*"), ["x"], "x string")) == [("a",), ("b",)]
 
 
 def test_resume_after_a_broken_write(tmp_path, make, rows):
     df = make("patid long, x string", [(1, "a"), (2, "b")])
-    keep = writers.named(str(tmp_path))
-    (tmp_path / "empty" / "_temporary" / "0").mkdir(parents=True)
-    (tmp_path / "nothing").mkdir()
-    keep(df.limit(1), "half")
-    (tmp_path / "half" / "_SUCCESS").unlink()  # as if moving its files had broken off
+    keep = writers.Addressed(str(tmp_path))
+    os.makedirs(f"{keep.path(df, 'empty')}/_temporary/0")
+    os.makedirs(keep.path(df, "nothing"))
+    keep(df, "half")
+    os.remove(f"{keep.path(df, 'half')}/_SUCCESS")  # as if moving its files had broken off
+    assert not keep.has(df, "half")
     for name in ("empty", "nothing", "half"):
-        assert rows(keep(df, name)) == rows(df) == rows(keep(df.limit(0), name))
+        assert rows(keep(df, name)) == rows(df) and keep.has(df, name)
+
+
+def test_a_table_is_made_anew_when_what_it_is_made_from_changes(spark, tmp_path, rows):
+    """Files, settings and rules count, the order of building and the session's numbers don't; what follows unchanged tables is not made again."""
+    source, keep = str(tmp_path / "in"), writers.Addressed(str(tmp_path / "out"))
+    spark.range(10).write.parquet(source)
+
+    def build(least, factor):
+        raw = spark.read.parquet(source)
+        small = keep(raw.where(F.col("id") >= least).select("id", F.transform(F.array("id"), lambda x: x + 1).alias("a")), "small")
+        return small, keep(small.withColumn("y", F.col("id") * factor), "wide")
+
+    def places(tables):
+        return [sorted(t.inputFiles()) for t in tables]
+
+    first = places(build(2, 3))
+    spark.range(5).select(F.transform(F.array("id"), lambda x: x * 2)).collect()
+    assert places(build(2, 3)) == first
+    other = places(build(2, 4))
+    assert other[0] == first[0] and other[1] != first[1]
+    assert all(a != b for a, b in zip(places(build(3, 3)), first))
+    spark.range(3).write.mode("append").parquet(source)
+    grown = build(2, 3)
+    assert all(a != b for a, b in zip(places(grown), first)) and grown[1].count() == 9
 
 
 def test_reports_and_stage(spark, tmp_path, make, rows):
@@ -148,6 +211,9 @@ def test_reports_and_stage(spark, tmp_path, make, rows):
     writers.write_reports({"score": df}, str(tmp_path))
     assert sorted(p for p in os.listdir(tmp_path / "score") if "=" in p) == ["report=a", "report=b"]
     assert rows(writers.read_report(spark, str(tmp_path), "score", "a")) == [(2008, 1.0), (2009, 2.0)]
+    shuffled = df.unionByName(make("report string, fyear int, x double", [("a", 2007, 0.0)])).repartition(3, "x")
+    writers.write_reports({"score": shuffled}, str(tmp_path / "in_order"))
+    assert [r.fyear for r in writers.read_report(spark, str(tmp_path / "in_order"), "score", "a").collect()] == [2007, 2008, 2009]
     staged = writers.stage(df, "t")
     assert rows(staged) == rows(df) and staged.schema == df.schema
     assert writers.shared_folder(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")

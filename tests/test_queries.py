@@ -81,8 +81,12 @@ def test_rules_can_be_switched_off(spark):
     assert panel_off.where("prop_pain > 0 or prop_constipation > 0").count() == 0 and panel_off.count() > 0
 
 
-def test_reports_written_once(spark):
-    out = study.study_reports(Fixture(spark, SMALL).tables, CFG)
+def test_reports_come_from_the_panel_given(panel_df):
+    out = study.study_reports(panel_df, CFG)
+    assert out["score"].inputFiles() and not set(out["score"].inputFiles()) & set(panel_df.inputFiles())  # from its cells
+    cells = standardise.report_cells(study.reported_rows(panel_df, CFG), CFG)
+    assert set(cells.inputFiles()) == set(panel_df.inputFiles())  # one scan, of the panel
+    assert cells._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
     assert out["score"].select("report").distinct().count() == 11
     assert out["prevalence"].select("report").distinct().count() == 11
     assert spells.KEYS == ("patid", "list_disease_real")
