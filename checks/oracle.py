@@ -529,7 +529,7 @@ group by all""",
 }
 FINAL["codelist_folder"] = FINAL["load_codelist"]
 FINAL["cohort_folders"] = FINAL["censor_dates"]
-FINAL["written_reports"] = f"{FINAL['score_crude']} union all {FINAL['score_standardised']}"
+FINAL["written_reports"] = FINAL["reports_from_halves"] = f"{FINAL['score_crude']} union all {FINAL['score_standardised']}"
 
 FINAL["deprivation_file"] = "select * from deprivation"
 FINAL["drug_list_folder"] = "select * from drug_list"

@@ -514,6 +514,14 @@ def written_reports(f: Fixture) -> DataFrame:
     return rounded(back, REPORT_COLUMNS, ["cam_score_general"])
 
 
+@query
+def reports_from_halves(f: Fixture) -> DataFrame:
+    """The score reports from the merged cell states of two halves of the patients."""
+    rows = active(f)
+    halves = [writers.stage(standardise.cell_states(rows.where(F.col("patid") % 2 == k), CFG), "states") for k in (0, 1)]
+    return rounded(study.merged_reports(halves, CFG)["score"], REPORT_COLUMNS, ["cam_score_general"])
+
+
 @query
 def deprivation_file(f: Fixture) -> DataFrame:
     """Text whose columns stand in another order, with a prefix and with one more, read by name."""

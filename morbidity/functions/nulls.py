@@ -26,6 +26,11 @@ def strict_sum(c: Column) -> Column:
     return F.when(_all_known(c), F.sum(c))
 
 
+def exact_sum(c: Column, kind: str = "decimal(18,12)") -> Column:
+    """Sum in fixed point: the same to the last bit however rows are dealt and in whatever order they come. A sum of doubles is not."""
+    return F.sum(c.cast(kind))
+
+
 def strict_avg(c: Column) -> Column:
     return F.when(_all_known(c), F.avg(c))
 

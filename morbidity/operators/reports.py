@@ -9,9 +9,10 @@ KEYS = ("fyear", "agecat", "agecat_ord", "gender", "imd_deciles", "imd2015_decil
 
 
 def weighted_mean(value: str, weight: str, strict: bool = False) -> Column:
-    """Mean of the known values; ``strict`` gives null when one of them has no weight."""
+    """Mean of the known values; ``strict`` gives null when one of them has no weight. Sums are in fixed point: cells may come in any order."""
     used = f"if({value} is null, null, {weight})"
-    mean = f"sum({value} * {weight}) / nullif(sum({used}), 0)"
+    total, weights = (f"cast(sum(cast({x} as decimal(38,20))) as double)" for x in (f"{value} * {weight}", used))
+    mean = f"{total} / nullif({weights}, 0)"
     return F.expr(f"if(count({value}) = count({used}), {mean}, null)" if strict else mean)
 
 

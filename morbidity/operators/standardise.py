@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from morbidity.config import AGE_LABELS, DECILE_LABELS, STANDARD_WEIGHTS, UNREPORTED, Config
 from morbidity.functions.bands import age_band, age_band_ordinal, age_in_year, decile_label
-from morbidity.functions.nulls import strict_avg
+from morbidity.functions.nulls import exact_sum
 
 STRATA = ("agecat", "gender", "imd_deciles")
 CELL = ("fyear", "imd_deciles", "imd2015_decile", "agecat", "agecat_ord", "gender", "wt_esp")
@@ -97,18 +97,41 @@ def _sized(cells: DataFrame, strict: bool) -> DataFrame:
     ).drop("n")
 
 
-def report_cells(active: DataFrame, cfg: Config) -> DataFrame:
-    """Mean score, and for each condition the patients with it over patients under follow-up, per cell.
+def cell_states(active: DataFrame, cfg: Config) -> DataFrame:
+    """Per cell: rows, rows with a score and their sum, patients under follow-up, and for each condition rows with a share and patients with it.
 
-    A panel has one row per patient and year, so counting rows counts patients: one aggregation for both report
-    families, combined map-side, and no patient identifier is shuffled. A null share leaves a cell's prevalence null.
+    Sums of states are states (``merged``), so reports of several extracts or buckets need their states alone. A panel has one row per patient and
+    year, so counting rows counts patients: one aggregation for both report families, combined map-side, and no patient identifier is
+    shuffled. The score is summed in fixed point.
     """
-    under = F.count_if(F.col("weight") > 0)
-    under = F.when(under != 0, under)
-    shares = []
+    score = F.col("cam_score_general")
+    states = [
+        F.count(F.lit(1)).alias("n"),
+        F.count(score).alias("n_score"),
+        exact_sum(score).cast("decimal(38,12)").alias("sum_score"),
+        F.count_if(F.col("weight") > 0).alias("n_under"),
+    ]
     for c in cfg.reported_columns:
         share = F.col(f"prop_{c}")
-        ill = F.when(F.count(share) == F.count(F.lit(1)), F.count_if(share > 0))
-        shares.append((ill / under).alias(f"prev_{c}"))
-    mean = strict_avg(F.col("cam_score_general")).alias("cam_score_general")
-    return _sized(active.groupBy(*CELL).agg(F.count(F.lit(1)).alias("n"), mean, *shares), cfg.strict)
+        states += [F.count(share).alias(f"n_{c}"), F.count_if(share > 0).alias(f"ill_{c}")]
+    return active.groupBy(*CELL).agg(*states)
+
+
+def merged(states: list[DataFrame]) -> DataFrame:
+    """One table of states for panels without a patient in common."""
+    whole = reduce(DataFrame.unionByName, states)
+    sums = [F.sum(c).cast(whole.schema[c].dataType).alias(c) for c in whole.columns if c not in CELL]
+    return whole.groupBy(*CELL).agg(*sums)
+
+
+def cells_of(states: DataFrame, cfg: Config) -> DataFrame:
+    """Mean score, and for each condition the patients with it over patients under follow-up, per cell. A null score or share leaves a
+    cell's value null."""
+    under = F.when(F.col("n_under") != 0, F.col("n_under"))
+    mean = F.when(F.col("n_score") == F.col("n"), F.col("sum_score").cast("double") / F.col("n")).alias("cam_score_general")
+    shares = [(F.when(F.col(f"n_{c}") == F.col("n"), F.col(f"ill_{c}")) / under).alias(f"prev_{c}") for c in cfg.reported_columns]
+    return _sized(states.select(*CELL, "n", mean, *shares), cfg.strict)
+
+
+def report_cells(active: DataFrame, cfg: Config) -> DataFrame:
+    return cells_of(cell_states(active, cfg), cfg)

@@ -184,6 +184,11 @@ def prevalence_reports(cells: DataFrame, cfg: Config) -> DataFrame:
 
 
 def study_reports(panel_df: DataFrame, cfg: Config, keep: Keep = stage) -> dict[str, DataFrame]:
-    """Both report families, from one table of cells of a panel, which should be a written one."""
-    cells = keep(standardise.report_cells(reported_rows(panel_df, cfg), cfg), "cells")
+    """Both report families of a panel, which should be a written one."""
+    return merged_reports([keep(standardise.cell_states(reported_rows(panel_df, cfg), cfg), "cells")], cfg)
+
+
+def merged_reports(states: list[DataFrame], cfg: Config) -> dict[str, DataFrame]:
+    """Both report families of panels without a patient in common, from their cell states (``standardise.cell_states``)."""
+    cells = standardise.cells_of(standardise.merged(states) if len(states) > 1 else states[0], cfg)
     return {"score": score_reports(cells, cfg), "prevalence": prevalence_reports(cells, cfg)}

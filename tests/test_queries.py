@@ -81,6 +81,22 @@ def test_rules_can_be_switched_off(spark):
     assert panel_off.where("prop_pain > 0 or prop_constipation > 0").count() == 0 and panel_off.count() > 0
 
 
+def test_reports_are_the_same_to_the_last_bit(panel_df):
+    """However the panel is dealt, and from the states of halves and thirds as from the whole."""
+
+    def bits(found):
+        return {k: sorted(map(repr, df.collect())) for k, df in found.items()}
+
+    def states(df):
+        return standardise.cell_states(study.reported_rows(df, CFG), CFG)
+
+    want = bits(study.study_reports(panel_df, CFG))
+    for n in (3, 8, 200):
+        assert bits(study.merged_reports([states(panel_df.repartition(n, F.rand(n)))], CFG)) == want
+    for n in (2, 3):
+        assert bits(study.merged_reports([states(panel_df.where(F.col("patid") % n == k)) for k in range(n)], CFG)) == want
+
+
 def test_reports_come_from_the_panel_given(panel_df):
     out = study.study_reports(panel_df, CFG)
     assert out["score"].inputFiles() and not set(out["score"].inputFiles()) & set(panel_df.inputFiles())  # from its cells
