@@ -19,7 +19,7 @@ import re
 from functools import lru_cache
 
 SPACE = "▁"  # how the vocabulary writes a space
-MAX_ENTRIES = 200_000  # transitions kept, and words kept; beyond it all are dropped, and worked out again when met
+MAX_ENTRIES = 400_000  # transitions kept, and words kept; beyond it transitions are dropped, and further words walked anew
 LONG = 40  # characters of a word that is walked anew each time
 _RUNS = re.compile(f"{SPACE}*[^{SPACE}\n]*\n?")
 
@@ -135,8 +135,7 @@ class Transducer:
         return self.cost[c]
 
     def forget(self) -> None:
-        """Drop all states but the start, and all that was kept beside them; they are made again when met."""
-        self.words.clear()
+        """Drop all states but the start, and what tells neighbours apart; they are made again when met."""
         self._follows.clear()
         del self.states[1:], self.steps[1:]
         self.steps[0].clear()
@@ -160,9 +159,7 @@ class Transducer:
         n = self.words.get(word)
         if n is None:
             n = self.walk(word)
-            if len(word) <= LONG:
-                if len(self.words) >= self.max_entries:
-                    self.words.clear()
+            if len(word) <= LONG and len(self.words) < self.max_entries:
                 self.words[word] = n
         return n
 
