@@ -13,6 +13,7 @@ from morbidity.sources.writers import stage
 
 BLANKS = r"[\x20\x09-\x0D]+"  # what parts words
 PART = 65_536  # code points of a text that are handled at once
+BATCH = 4 << 20  # bytes of rows that go to a Python worker at once
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -66,6 +67,16 @@ def prefix_sums(rows: DataFrame, name: str, value: str, by: str, *order: str) ->
     return joined.withColumn(name, F.col("__before") + F.col("__inside")).drop("__piece", "__at", "__before", "__inside", "__by")
 
 
+def arrow_map(rows: DataFrame, work: Callable, schema) -> DataFrame:
+    """``rows.mapInArrow`` with batches of at most some ``BATCH`` bytes: Spark's own bound is 64 MB, which stands in the JVM, in its buffers and in the worker
+    at the same time. A smaller setting of the session stays; Spark reads it when the job starts."""
+    conf, key = rows.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = str(conf.get(key))
+    if not held.isdigit() or not 0 < int(held) <= BATCH:
+        conf.set(key, str(BATCH))
+    return rows.mapInArrow(work, schema)
+
+
 def by_batch(make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], most: float = 8e6):
     """For mapInArrow: ``make`` runs once per task, what it returns once per batch.
 

@@ -16,11 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from morbidity.llm.common import n_bytes, table
+from morbidity.llm.common import arrow_map, n_bytes, table
 from morbidity.sources.writers import shared_folder, stage
 
 LEAST = 100  # bytes of a payload from which its repeats are revisits
 FILE_RECORDS = 1_000
+FILE_BYTES = 32 << 20  # of payload in a file, unless a single record has more
 RANGE = 1 << 18  # bytes of a file whose links one task follows
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _MAGIC = re.compile(rb"WARC/1\.[01]\r\n")
@@ -46,7 +47,12 @@ def with_roles(pages: DataFrame, page_id: str = "page_id", html: str = "html") -
 
 
 def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "url", html: str = "html", file_records: int = FILE_RECORDS) -> None:
-    """One record for each page, into files of at most ``file_records`` records, uncompressed."""
+    """One record for each page, into files of at most ``file_records`` records, uncompressed.
+
+    A task reads a file whole, so a file has no more than ``FILE_BYTES`` of payload, or one record: pages too large for ``file_records`` of
+    them in a file are written apart, with a 32nd of the records in a file, then one. ``pages`` is read once for each of these three classes that it has;
+    payloads are not shuffled.
+    """
     rows = with_roles(pages, page_id, html)
     revisit = F.col("__first").isNotNull()
     block = F.concat(F.lit(HTTP), F.when(revisit, F.lit("")).otherwise(F.coalesce(html, F.lit(""))))
@@ -74,7 +80,12 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
         F.lit("\r\n"),
     )
     # the writer ends each row with the second of the two line ends that end a record
-    rows.select(record.alias("value")).write.option("lineSep", "\r\n").option("maxRecordsPerFile", file_records).text(folder)
+    largest, above, records = pages.agg(F.max(n_bytes(html))).first()[0] or 0, -1, file_records
+    while above < largest or above < 0:
+        upto = FILE_BYTES // records if records > 1 else largest
+        some = rows.where((F.col("__bytes") > above) & (F.col("__bytes") <= upto))
+        some.select(record.alias("value")).write.mode("append").option("lineSep", "\r\n").option("maxRecordsPerFile", records).text(folder)
+        above, records = upto, max(1, records // 32)
 
 
 def candidates(spark: SparkSession, folder: str, range_bytes: int = RANGE) -> DataFrame:
@@ -120,7 +131,7 @@ def candidates(spark: SparkSession, folder: str, range_bytes: int = RANGE) -> Da
                 yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(fields))
 
     files = spark.read.format("binaryFile").load(folder).select("path", "content")
-    return files.mapInArrow(run, CANDIDATE)
+    return arrow_map(files, run, CANDIDATE)
 
 
 def reached(found: DataFrame) -> DataFrame:

@@ -64,6 +64,17 @@ def test_records_inside_payloads_are_not_records(spark, make, range_bytes):
     assert bag(got) == bag(want)
 
 
+def test_long_payloads_are_in_files_of_their_own(spark, make, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 64_000)
+    pages = [(i, "u", f"{i} " * (20 if i % 9 else 3_000)) for i in range(300)] + [(1000, "u", "z" * 200_000), (1001, "u", TRAP * 900), (1002, "u", None)]
+    folder = f"{shared_folder(spark)}/t-{uuid.uuid4().hex}"
+    warc.write_archives(make("page_id long, url string, html string", pages).coalesce(1), folder)
+    sizes = [r.length for r in spark.read.format("binaryFile").load(folder).select("length").collect()]
+    assert sum(s > 100_000 for s in sizes) == 2 and max(s for s in sizes if s < 100_000) <= 90_000
+    want = bag((f"<urn:page:{i}>", len((h or "").encode()), hashlib.sha256((h or "").encode()).hexdigest()) for i, _, h in pages)
+    assert bag((r.id, r.bytes, r.digest) for r in warc.read_archives(spark, folder).collect()) == want
+
+
 def test_no_pages_no_records(spark, make):
     folder = f"{shared_folder(spark)}/t-{uuid.uuid4().hex}"
     warc.write_archives(make("page_id long, url string, html string", []), folder)
@@ -99,6 +110,13 @@ def test_hot_text_is_split_and_equal_texts_are_neighbours(make):
     assert hot == list(range(hot[0], hot[-1] + 1)) and 3 < len(hot) < 8
 
 
+def test_a_row_that_is_half_of_the_table_is_split(make):
+    rows = [(7, "the same row again") if i % 2 else (i, f"some other text {i}") for i in range(8000)]
+    sizes = check_shards(shard_documents(make("doc_id long, text string", rows)).collect())
+    mean = sum(sizes.values()) / 8
+    assert len(sizes) == 8 and all(abs(s - mean) <= 0.01 * mean + 30 for s in sizes.values())
+
+
 def test_shards_of_odd_rows(make):
     rows = [(None, None), (None, None), (1, ""), (1, ""), (2, "x" * 100_000), (3, "y")]
     df = make("doc_id long, text string", rows)
