@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from morbidity.llm.common import by_batch, table
+from morbidity.llm.common import arrow_map, by_batch, table
 from morbidity.sources.writers import stage
 
 WINDOW = 13
@@ -163,7 +163,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", window:
         digest = hashlib.sha256(repr(items).encode()).hexdigest()
         if k:
             result = stage(result, "hits")
-        result = result.mapInArrow(by_batch(_scanner(digest, items, window, at, out.names)), out)
+        result = arrow_map(result, by_batch(_scanner(digest, items, window, at, out.names)), out)
     return result
 
 
@@ -224,7 +224,7 @@ def remove_hits(found: DataFrame, min_words: int = WINDOW, share: int = 20, text
 
         return work
 
-    return kept.mapInArrow(by_batch(start), kept.schema)
+    return arrow_map(kept, by_batch(start), kept.schema)
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from morbidity.llm.common import by_batch, table
+from morbidity.llm.common import arrow_map, by_batch, table
 from morbidity.llm.components import components
 from morbidity.llm.shingles import WORDS, mix, shingle_sets
 from morbidity.sources.writers import stage
@@ -104,7 +104,7 @@ def _hashed(docs: DataFrame, words: int, percent: int) -> DataFrame:
         return work
 
     out = T.StructType([docs.schema["key"], *T._parse_datatype_string("n long, h long, h2 long, regions array<long>").fields])
-    return docs.mapInArrow(by_batch(start, SLICE), out)
+    return arrow_map(docs, by_batch(start, SLICE), out)
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
@@ -119,7 +119,7 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
 
         return work
 
-    return docs.mapInArrow(by_batch(start, SLICE), "h long, h2 long, n long, set array<long>")
+    return arrow_map(docs, by_batch(start, SLICE), "h long, h2 long, n long, set array<long>")
 
 
 def _clusters(hashed: DataFrame) -> DataFrame:
@@ -151,7 +151,7 @@ def _passing(rows: DataFrame, near: DataFrame, bits: int = FILTER_BITS) -> DataF
 
         return work
 
-    return rows.withColumn("p", place).mapInArrow(by_batch(start), rows.schema)
+    return arrow_map(rows.withColumn("p", place), by_batch(start), rows.schema)
 
 
 def _distances(pairs: DataFrame) -> DataFrame:
@@ -172,7 +172,7 @@ def _distances(pairs: DataFrame) -> DataFrame:
 
         return work
 
-    return pairs.mapInArrow(by_batch(start, SLICE), out)
+    return arrow_map(pairs, by_batch(start, SLICE), out)
 
 
 def _room():
@@ -273,7 +273,7 @@ def _links(cells: DataFrame, percent: int) -> DataFrame:
             yield done()
 
     dealt = cells.select("cell", "h", "h2", "set").repartition("cell").sortWithinPartitions("cell", "h", "h2")
-    return dealt.mapInArrow(run, "a struct<h:long,h2:long>, b struct<h:long,h2:long>")
+    return arrow_map(dealt, run, "a struct<h:long,h2:long>, b struct<h:long,h2:long>")
 
 
 def _classes(rows: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:

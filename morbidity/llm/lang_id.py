@@ -14,12 +14,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from morbidity.llm.common import by_batch, table
+from morbidity.llm.common import arrow_map, by_batch, table
 
 DIM = 1024
 CLASSES = 128  # 0: between words; 1-26: a-z; the rest: all other letters, by code point
 SEED = 7
-AT_ONCE = 100  # texts whose vectors are made in one matrix product
+AT_ONCE = 100  # texts whose vectors are made in one matrix product, if they are not long
+LETTERS = 250_000  # code points of such texts; a longer text is alone
+KINDS = 4096  # n-grams whose vectors are held at once
+SLICE = 1e6
 UNKNOWN = "und"
 
 
@@ -65,11 +68,30 @@ def bundle(codes: np.ndarray, dim: int, seed: int) -> np.ndarray:
 
 
 def text_vectors(texts: list[str | None], dim: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """One row for each text, and whether it has a letter. Sums of whole numbers up to 2 ** 24 are exact in any order."""
     doc, code, lettered = ngrams(texts)
     kinds, at = np.unique(code, return_inverse=True)
-    counts = np.bincount(doc * max(1, len(kinds)) + at, minlength=len(texts) * len(kinds))
-    counts = counts.reshape(len(texts), len(kinds)).astype(np.float32)
-    return counts @ bundle(kinds, dim, seed), lettered
+    order = np.argsort(at, kind="stable")
+    doc, at = doc[order], at[order]
+    vectors = np.zeros((len(texts), dim), np.float32)
+    for low in range(0, len(kinds), KINDS):
+        some = kinds[low : low + KINDS]
+        a, b = np.searchsorted(at, (low, low + len(some)))
+        counts = np.bincount(doc[a:b] * len(some) + at[a:b] - low, minlength=len(texts) * len(some))
+        vectors += counts.reshape(len(texts), len(some)).astype(np.float32) @ bundle(some, dim, seed)
+    return vectors, lettered
+
+
+def groups(texts: list[str | None]) -> list[list[str | None]]:
+    """Texts in order, so many at a time as a matrix product takes."""
+    out, letters = [[]], 0
+    for t in texts:
+        letters += len(t or "")
+        if out[-1] and (len(out[-1]) == AT_ONCE or letters > LETTERS):
+            out.append([])
+            letters = len(t or "")
+        out[-1].append(t)
+    return out
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", dim: int = DIM, seed: int = SEED) -> tuple[list[str], np.ndarray]:
@@ -79,24 +101,24 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", dim: int = DI
     ``dim`` numbers for each. Sums of whole numbers are exact, so reruns agree.
     """
 
-    def start():
-        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts, langs = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist(), object)
-            names = sorted(set(langs))
-            sums = []
-            for name in names:
-                _, code, _ = ngrams([t for t, x in zip(texts, langs) if x == name])
-                kinds, counts = np.unique(code, return_counts=True)
-                total = np.zeros(dim)
-                for at in range(0, len(kinds), 4096):  # float64: exact up to 2 ** 53
-                    total += counts[at : at + 4096] @ bundle(kinds[at : at + 4096], dim, seed).astype(np.float64)
-                sums.append(total)
-            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([s.tolist() for s in sums], pa.list_(pa.float64()))], names=["lang", "sums"])
-
-        return work
+    def run(batches):
+        sums: dict[str, np.ndarray] = {}
+        for batch in batches:
+            texts: dict[str, list[str]] = {}
+            for t, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                texts.setdefault(name, []).append(t)
+            for name, held in texts.items():
+                found = [np.unique(ngrams(some)[1], return_counts=True) for some in groups(held)]
+                kinds, at = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+                counts = np.bincount(at, np.concatenate([c for _, c in found]))
+                total = sums.setdefault(name, np.zeros(dim))
+                for at in range(0, len(kinds), KINDS):  # float64: exact up to 2 ** 53
+                    total += counts[at : at + KINDS] @ bundle(kinds[at : at + KINDS], dim, seed).astype(np.float64)
+        names = sorted(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([sums[n].tolist() for n in names], pa.list_(pa.float64()))], names=["lang", "sums"])
 
     labelled = docs.select(F.col(text).alias("t"), F.col(lang).alias("l")).dropna()
-    parts = labelled.mapInArrow(by_batch(start), "lang string, sums array<double>")
+    parts = arrow_map(labelled, run, "lang string, sums array<double>")
     cells = parts.select("lang", F.posexplode("sums").alias("i", "v")).groupBy("lang", "i").agg(F.sum("v").alias("v"))
     rows = cells.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("v")).orderBy("lang").collect()
     names = [r.lang for r in rows]
@@ -124,8 +146,8 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = batch.column(at).to_pylist()
             preds, scores = [], []
-            for i in range(0, len(texts), AT_ONCE):
-                vectors, lettered = text_vectors(texts[i : i + AT_ONCE], dim, seed)
+            for some in groups(texts) if texts else []:
+                vectors, lettered = text_vectors(some, dim, seed)
                 if not names:
                     preds += [UNKNOWN] * len(vectors)
                     scores += [0.0] * len(vectors)
@@ -138,7 +160,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "
 
         return work
 
-    return kept.mapInArrow(by_batch(start), out)
+    return arrow_map(kept, by_batch(start, SLICE), out)
 
 
 def held_out(doc_id="doc_id"):

@@ -1,11 +1,14 @@
 """Token counts against the tokenizer's own library, languages against held-out labels."""
 
 import random
+import tracemalloc
 
+import numpy as np
+import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from morbidity.llm.lang_id import held_out, identify, learn
+from morbidity.llm.lang_id import CLASSES, held_out, identify, learn, letter_classes, text_vectors
 from morbidity.llm.token_count import compose, count_tokens, op1_token_counts, state_map, vocabulary
 from morbidity.llm.token_fst import SPACE, transducer
 
@@ -91,3 +94,47 @@ def test_language_of_odd_rows(spark, make):
     assert identify(df.limit(0), model).collect() == []
     nothing = learn(known.limit(0))
     assert {r.lang_pred for r in identify(df, nothing).collect()} == {"und"}
+
+
+def test_memory_of_a_long_text_of_a_large_alphabet():
+    random = np.random.default_rng(1)
+    long = "".join(map(chr, random.integers(0x4E00, 0x9FA5, 500_000)))
+    tracemalloc.start()
+    vectors, lettered = text_vectors(["the dog", long, None], 1024, 7)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300e6 and lettered.tolist() == [True, True, False]
+    assert (vectors[0] == text_vectors(["the dog"], 1024, 7)[0][0]).all() and not vectors[2].any()
+
+
+def plain_vector(text, dim=64, seed=7):
+    """The bundle of one text, letter by letter."""
+    classes, plain = letter_classes(), np.random.default_rng(seed).choice(np.array([-1, 1], np.int8), (CLASSES, dim)).astype(int)
+    shown = [0]
+    for c in text.lower():
+        k = int(classes[ord(c)])
+        if k or shown[-1]:
+            shown.append(k)
+    total = np.zeros(dim, int)
+    for a, b, c in zip(shown, shown[1:], shown[2:]):
+        if a or b or c:
+            total += np.roll(plain[a], 2) * np.roll(plain[b], 1) * plain[c]
+    return total
+
+
+def test_vectors_and_answers_against_a_plain_version(make):
+    texts = ["the cat, and THE dog 12", "der Hund\n\n und die Katze!", "a", "", "é è ж 中文字 x", "... --", "la casa  y el perro " * 40]
+    for t, v in zip(texts, text_vectors(texts, 64, 7)[0]):
+        assert (v == plain_vector(t)).all()
+    known = [(t, "xyz"[i % 3]) for i, t in enumerate(texts)]
+    names, profiles = learn(make("text string, lang string", known), dim=64)
+    for name, p in zip(names, profiles):
+        total = sum(plain_vector(t) for t, x in known if x == name)
+        assert np.allclose(p, total / max(np.linalg.norm(total), 1e-12))  # a language without a gram has none
+    for r in identify(make("text string", [(t,) for t in texts]), (names, profiles), dim=64).collect():
+        v = plain_vector(r.text)
+        cosines = profiles @ v / max(np.linalg.norm(v), 1e-12)
+        if any(c.isalpha() for c in r.text):
+            assert r.score == pytest.approx(max(0, cosines.max()), abs=1e-5) and cosines[names.index(r.lang_pred)] == pytest.approx(cosines.max(), abs=1e-5)
+        else:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
