@@ -1,7 +1,7 @@
 """Shards of near equal bytes by histogram sort.
 
-Rows are ordered by a 63-bit key: the upper half from the text, so that equal texts lie together, the lower half from
-the id, so that a large group of equal texts can be split. Each splitter starts with all keys as its interval. A round
+Rows are ordered by a 63-bit key: the upper half from the text, so that equal texts lie together, then 20 bits from
+the id and 12 from the row's place in the table, so that a large group of equal texts, or of one repeated row, can be split. Each splitter starts with all keys as its interval. A round
 counts, over all partitions, the exact bytes below evenly spaced probes in all intervals at once, and keeps of each interval the part
 between the two probes around its target. When each splitter is within tolerance, or its interval is one key, every
 row knows its shard, and rows are exchanged once.
@@ -22,9 +22,11 @@ TOLERANCE = 0.002  # of a shard's weight
 
 
 def sort_key(text="text", doc_id="doc_id"):
-    """Null text and null id are values of their own."""
+    """Null text and null id are values of their own. The place is that of the scan: stable while the table's files and the session's
+    settings are; where it is not, rows that repeat may change places with each other, and with nothing else."""
     upper = F.shiftleft(F.xxhash64(F.lit(1), text).bitwiseAND(F.lit(0x7FFFFFFF)), 32)
-    return upper.bitwiseOR(F.xxhash64(F.lit(2), doc_id).bitwiseAND(F.lit(0xFFFFFFFF)))
+    place = F.xxhash64(F.lit(3), F.monotonically_increasing_id())
+    return upper.bitwiseOR(F.xxhash64(F.lit(2), doc_id).bitwiseAND(F.lit(0xFFFFF000))).bitwiseOR(place.bitwiseAND(F.lit(0xFFF)))
 
 
 def splitters(rows: DataFrame, key: str, weight: str, shares: list[float], tolerance: float = TOLERANCE) -> list[int]:
@@ -82,7 +84,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, text: str = "text", d
     """``docs`` with ``size``, ``shard`` and ``slot``, dealt into shards of near equal bytes.
 
     A row's size is the UTF-8 bytes of its text (null: none) plus 1. Equal texts are neighbours, parted only where a splitter
-    falls among them. Repeated rows stay; rows with the same text and id are in one shard. An empty table gives an empty one. Columns of these names are replaced.
+    falls among them. Repeated rows stay, in 4,096 parts that a splitter may fall between. An empty table gives an empty one. Columns of these names are replaced.
     """
     sized = docs.withColumns({"size": n_bytes(text) + 1, "__key": sort_key(text, doc_id)})
     keys = stage(sized.select("__key", "size"), "keys")
