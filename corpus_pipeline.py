@@ -6,7 +6,7 @@ A stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from morbidity.llm.common import importable, table
@@ -18,13 +18,21 @@ from morbidity.llm.shard import shard_documents
 from morbidity.sources.writers import stage
 
 
+def apart(docs: DataFrame, *names: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with columns of the given names under others, so that an operator's own columns don't replace them, and what brings
+    all columns back."""
+    held = {c: f"__own_{c}" for c in docs.columns if c.lower() in names}
+    return docs.withColumnsRenamed(held), [F.col(held.get(c, c)).alias(c) for c in docs.columns]
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told stay; null texts and texts without a letter go.
 
     The profiles are learned from the documents that are not held out, as in the query of its own.
     """
     model = learn(docs.where(~held_out()))
-    return identify(docs, model).where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    spared, back = apart(docs, "lang_pred", "score")
+    return identify(spared, model).where(F.col("lang_pred") != UNKNOWN).select(back)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +42,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go, the others stay as they are."""
-    found = find_hits(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
-    return found.where(~is_contaminated()).select(*docs.columns)
+    spared, back = apart(docs, "n_words", "hits", "items")
+    found = find_hits(spared, table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return found.where(~is_contaminated()).select(back)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,6 +70,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``. An empty table gives an empty one; null texts go at the first stage; of rows equal in id and text one is left after
+    the second, which the mix may repeat; other columns stay as they are, but for ``size``, ``shard`` and ``slot``, which the last stage replaces."""
     importable(spark)
     docs = table(spark, sf_dir, "documents")
     for name, work in STAGES:
