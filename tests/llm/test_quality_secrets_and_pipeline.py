@@ -129,3 +129,21 @@ def test_pipeline_stage_by_stage(spark, documents):
             assert got == sorted(i for i, _ in rows)
             check_shards(kept.collect())
     assert corpus_pipeline.run(spark, SMALL).count() > 0
+
+
+def test_pipeline_of_odd_tables(spark, documents):
+    """Repeated rows, null columns, an extra column that a stage uses inside, and an empty table."""
+    odd = documents.limit(40).union(documents.limit(40)).withColumns({"hits": F.lit("z"), "score": F.lit("z")})
+    nothing = odd.limit(1).select(*[F.lit(None).cast(t).alias(c) for c, t in odd.dtypes])
+    for docs in (odd.union(nothing), odd.limit(0)):
+        kept = docs
+        for name, work in corpus_pipeline.STAGES:
+            before, kept = kept.count(), stage(work(spark, kept, SMALL), name)
+            assert set(kept.columns) >= set(docs.columns)
+            if name == "near_duplicates":
+                assert kept.count() == kept.select("doc_id").distinct().count()
+            elif name == "shards":
+                assert kept.count() == before
+                check_shards(kept.collect())
+        assert (kept.count() > 0) == (docs.count() > 0)
+        assert {x for r in kept.select("hits", "score").collect() for x in r} <= {"z"}
