@@ -2,15 +2,16 @@
 
 Suffixes are of type S (smaller than the next one) or L. The leftmost S of each run begins a leftmost-smaller substring; these are sorted by
 inducing from their first characters, named by rank, and, unless all names differ, sorted recursively as a text of names. From their
-order the L suffixes are induced from left to right and the S suffixes from right to left. Small alphabets are induced a bucket at
-a time in numpy, names a suffix at a time.
+order the L suffixes are induced from left to right and the S suffixes from right to left. Long texts of small alphabets are induced a
+bucket at a time in numpy, short texts and names a suffix at a time.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-SMALL = 1 << 10  # alphabets induced by bucket
+SMALL = 1 << 10  # alphabets induced by bucket,
+DENSE = 1 << 8  # where a bucket has so many suffixes on average; with fewer, numpy's calls take longer than the suffixes
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -20,7 +21,8 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
         return np.arange(n)
     smaller = suffix_types(text)
     left = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
-    induce = _by_bucket if int(text.max()) < SMALL else _by_suffix
+    size = int(text.max()) + 1
+    induce = _by_bucket if size <= SMALL and n >= DENSE * size else _by_suffix
     if len(left) > 1:
         order = induce(text, smaller, left)
         marked = np.zeros(n, bool)

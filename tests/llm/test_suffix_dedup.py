@@ -12,9 +12,10 @@ from morbidity.llm.suffix_dedup import SLICE, op13_suffix_dedup, remove_repeats,
 SMALL = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("small", [1 << 10, 0])
-def test_suffix_arrays_and_common_prefixes(monkeypatch, small):
+@pytest.mark.parametrize("small, dense", [(1 << 10, 0), (1 << 10, 3), (0, 0)])
+def test_suffix_arrays_and_common_prefixes(monkeypatch, small, dense):
     monkeypatch.setattr(suffix_sort, "SMALL", small)
+    monkeypatch.setattr(suffix_sort, "DENSE", dense)
     rng = np.random.default_rng(3)
     for trial in range(400):
         text = rng.integers(0, rng.integers(1, 6), rng.integers(0, 70))
