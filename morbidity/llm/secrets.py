@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,15 +17,17 @@ LEAST = {"assign": 12, "access": 18, "hex": 16}
 NAMES = ("assign", "access", "hex", "random")
 CUES = ("password", "passwd", "secret", "token", "api_key", "apikey")
 
-RUN = "[A-Za-z0-9+/_=-]{20,}"  # what the models look at
+RUN = "[A-Za-z0-9+/_=-]{20,}"  # what the models look at: whole runs,
+PART = "[A-Za-z0-9+]{12,}"  # and what lies between separators
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SAMPLE_ROWS = 20_000  # about so many rows are looked through for labelled strings
 PLAIN_ROWS = 2_000  # and so many of them for ordinary words
 MARGIN = 0.5  # mean log-likelihood ratio of two neighbouring characters, in nats
+PAIRS = 19  # a string of fewer pairs needs the sum that so many would need
 
 
-def places(text: Column, pattern: str, group: int = 0, least: int = 0) -> Column:
-    """array<struct<start, end>> of the matches whose group has ``least`` characters or more, in code points.
+def places(text: Column, pattern: str, group: int = 0, least: int = 0, keep: Callable[[Column], Column] | None = None) -> Column:
+    """array<struct<start, end>> of the matches whose group has ``least`` characters or more, and that ``keep`` is true for, in code points.
 
     What lies between the matches, and the matches, are taken out by two passes of the same pattern; their lengths
     in turn give the places.
@@ -35,14 +38,17 @@ def places(text: Column, pattern: str, group: int = 0, least: int = 0) -> Column
     none = F.array().cast("array<struct<start:int,end:int>>")
 
     def walk(found: Column) -> Column:
-        lengths = F.transform(found["m"], lambda m, i: F.struct(F.length(F.get(found["p"], i)).alias("gap"), F.length(m).alias("n"), F.length(F.get(found["g"], i)).alias("g")))
+        def sizes(m: Column, i: Column) -> Column:
+            good = F.length(F.get(found["g"], i)) >= least
+            gap = F.length(F.get(found["p"], i)).alias("gap")
+            return F.struct(gap, F.length(m).alias("n"), (good & keep(m) if keep else good).alias("good"))
 
         def on(a: Column, x: Column) -> Column:
             start = a["at"] + x["gap"]
             span = F.array(F.struct(start.alias("start"), (start + x["n"]).alias("end")))
-            return F.struct((start + x["n"]).alias("at"), F.when(x["g"] >= least, F.concat(a["out"], span)).otherwise(a["out"]).alias("out"))
+            return F.struct((start + x["n"]).alias("at"), F.when(x["good"], F.concat(a["out"], span)).otherwise(a["out"]).alias("out"))
 
-        return F.aggregate(lengths, F.struct(F.lit(0).alias("at"), none.alias("out")), on, lambda a: a["out"])
+        return F.aggregate(F.transform(found["m"], sizes), F.struct(F.lit(0).alias("at"), none.alias("out")), on, lambda a: a["out"])
 
     return let(F.struct(pieces.alias("p"), matches.alias("m"), groups.alias("g")), walk)
 
@@ -74,14 +80,17 @@ def _counts(strings: DataFrame) -> dict[tuple[str, str], int]:
     return {(r.p[0], r.p[1]): r["count"] for r in rows.groupBy("p").count().collect()}
 
 
-def train(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS, plain_rows: int = PLAIN_ROWS) -> list[float]:
+def train(
+    docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS, plain_rows: int = PLAIN_ROWS, doc_id: str = "doc_id"
+) -> list[float]:
     """Log-likelihood ratios (random against ordinary) of all pairs of neighbouring characters, row by row.
 
-    Labelled samples come from about ``sample_rows`` rows, drawn by a hash: what the patterns find there is random,
-    words of four letters and more, and identifiers of words, are ordinary. Each pair counts once more than seen.
+    Labelled samples come from about ``sample_rows`` rows, drawn by a hash of text and id (where there is one), so that copies are drawn
+    apart: what the patterns find there is random; words of four letters and more, identifiers of words, and numbers of four
+    digits and more, are ordinary. Each pair counts once more than seen, so that without any rows all ratios are 0.
     """
     rows = max(1, docs.count())
-    drawn = F.pmod(F.xxhash64(text, F.lit(10)), F.lit(1_000_000))
+    drawn = F.pmod(F.xxhash64(text, *[c for c in docs.columns if c == doc_id], F.lit(10)), F.lit(1_000_000))
     few = docs.select(F.col(text).alias("text")).where(drawn < int(1e6 * min(1.0, sample_rows / rows)))
     spans = base_spans(few)
     cut = F.transform(
@@ -89,7 +98,7 @@ def train(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS, p
     )
     random = _counts(spans.select(F.explode(cut).alias("s")))
     fewer = docs.select(F.col(text).alias("text")).where(drawn < int(1e6 * min(1.0, plain_rows / rows)))
-    word = F.regexp_extract_all("text", F.lit("(?<![A-Za-z0-9+/_=-])[A-Za-z_]{4,}(?![A-Za-z0-9+/_=-])"), F.lit(0))
+    word = F.regexp_extract_all("text", F.lit("(?<![A-Za-z0-9+/_=-])(?:[A-Za-z_]{4,}|[0-9]{4,})(?![A-Za-z0-9+/_=-])"), F.lit(0))
     plain = _counts(fewer.select(F.explode(word).alias("s")))
 
     def logs(counts: dict) -> list[float]:
@@ -102,26 +111,31 @@ def train(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS, p
     return [x - y for x, y in zip(logs(random), logs(plain))]
 
 
-def random_spans(text: Column, ratios: list[float], margin: float = MARGIN) -> Column:
-    """Spans of runs whose neighbouring characters are, on average, likelier under the random model by ``margin``."""
+def random_spans(text: Column, ratios: list[float], known: Column, margin: float = MARGIN) -> Column:
+    """Spans, by start, of strings whose neighbouring characters are, on average, likelier under the random model by ``margin``, and in all by
+    what ``PAIRS`` pairs would need: whole runs, and parts between separators outside those runs. None overlaps a ``known`` span; a string
+    without a letter is a number."""
     n = len(ALPHABET)
     codes = F.lit([ALPHABET.find(chr(i)) for i in range(128)])
     table_ = F.lit([round(x, 6) for x in ratios])
 
-    def likelier(run: Column) -> Column:
-        def mean(s: Column) -> Column:
-            at = F.transform(F.split(s, ""), lambda c: F.get(codes, F.ascii(c)))
+    def likelier(s: Column) -> Column:
+        at = F.transform(F.split(s, ""), lambda c: F.get(codes, F.ascii(c)))
 
-            def total(k: Column) -> Column:
-                pairs = F.zip_with(F.slice(k, 1, F.size(k) - 1), F.slice(k, 2, F.size(k) - 1), lambda a, b: F.get(table_, a * n + b))
-                return F.aggregate(pairs, F.lit(0.0), lambda x, y: x + y) / (F.size(k) - 1)
+        def enough(k: Column) -> Column:
+            pairs = F.zip_with(F.slice(k, 1, F.size(k) - 1), F.slice(k, 2, F.size(k) - 1), lambda a, b: F.get(table_, a * n + b))
+            return F.aggregate(pairs, F.lit(0.0), lambda x, y: x + y) > margin * F.greatest(F.size(k) - 1, F.lit(PAIRS))
 
-            return let(at, total)
+        return s.rlike("[A-Za-z]") & let(at, enough)
 
-        return let(F.substring(text, run["start"] + 1, run["end"] - run["start"]), mean) > margin
+    def apart(spans: Column, others: Column) -> Column:
+        return F.filter(spans, lambda x: ~F.exists(others, lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])))
 
-    runs = F.filter(places(text, RUN), likelier)
-    return F.when(text.rlike(RUN), runs).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
+    def both(runs: Column) -> Column:
+        return F.array_sort(F.concat(runs, apart(places(text, PART, keep=likelier), F.concat(known, runs))))
+
+    found = let(apart(places(text, RUN, keep=likelier), known), both)
+    return F.when(text.rlike(PART) | text.rlike(RUN), found).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
 
 
 def _listed(arrays: list[str]) -> Column:
@@ -140,13 +154,11 @@ def _listed(arrays: list[str]) -> Column:
 def scan(docs: DataFrame, ratios: list[float], text: str = "text") -> DataFrame:
     """``docs`` with spans ``assign``, ``access``, ``hex`` and ``random``; such columns are replaced.
 
-    ``random`` spans that overlap one of the others are left out. Null text is empty and has none; no row is dropped.
+    A run that overlaps one of the others is left out, its parts outside are not. Null text is empty and has none; no row is dropped.
     """
     based = base_spans(docs.drop("random"), text)
     known = F.concat("assign", "access", "hex")
-    found = random_spans(F.coalesce(F.col(text), F.lit("")), ratios)
-    new = F.filter(found, lambda x: ~F.exists(known, lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])))
-    return based.withColumn("random", new)
+    return based.withColumn("random", random_spans(F.coalesce(F.col(text), F.lit("")), ratios, known))
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
