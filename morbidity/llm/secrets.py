@@ -23,6 +23,7 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SAMPLE_ROWS = 20_000  # about so many rows are looked through for labelled strings
 PLAIN_ROWS = 2_000  # and so many of them for ordinary words
 MARGIN = 0.5  # mean log-likelihood ratio of two neighbouring characters, in nats
+VARIETY = 6  # different characters at least
 PAIRS = 19  # a string of fewer pairs needs the sum that so many would need
 
 
@@ -114,7 +115,7 @@ def train(
 def random_spans(text: Column, ratios: list[float], known: Column, margin: float = MARGIN) -> Column:
     """Spans, by start, of strings whose neighbouring characters are, on average, likelier under the random model by ``margin``, and in all by
     what ``PAIRS`` pairs would need: whole runs, and parts between separators outside those runs. None overlaps a ``known`` span; a string
-    without a letter is a number."""
+    without a letter is a number, and one of fewer than ``VARIETY`` characters a rule or a filler."""
     n = len(ALPHABET)
     codes = F.lit([ALPHABET.find(chr(i)) for i in range(128)])
     table_ = F.lit([round(x, 6) for x in ratios])
@@ -126,7 +127,7 @@ def random_spans(text: Column, ratios: list[float], known: Column, margin: float
             pairs = F.zip_with(F.slice(k, 1, F.size(k) - 1), F.slice(k, 2, F.size(k) - 1), lambda a, b: F.get(table_, a * n + b))
             return F.aggregate(pairs, F.lit(0.0), lambda x, y: x + y) > margin * F.greatest(F.size(k) - 1, F.lit(PAIRS))
 
-        return s.rlike("[A-Za-z]") & let(at, enough)
+        return s.rlike("[A-Za-z]") & let(at, lambda k: (F.size(F.array_distinct(k)) >= VARIETY) & enough(k))
 
     def apart(spans: Column, others: Column) -> Column:
         return F.filter(spans, lambda x: ~F.exists(others, lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from morbidity.llm.lang_id import UNKNOWN, held_out, identify, learn
 from morbidity.llm.quality import OP9_SQL, RULES, base_columns, cascade_order, judge, op9_quality_rules, rate
-from morbidity.llm.secrets import ALPHABET, MARGIN, NAMES, PAIRS, op10_secret_scan, scan, train
+from morbidity.llm.secrets import ALPHABET, MARGIN, NAMES, PAIRS, VARIETY, op10_secret_scan, scan, train
 from morbidity.sources.writers import stage
 from test_archives_shards_and_mix import bag, check_shards
 from test_duplicates_and_benchmark import brute_classes, brute_hits
@@ -88,7 +88,7 @@ def brute_random(text, ratios):
     def likelier(s):
         k = [ALPHABET.index(c) for c in s]
         total = sum(round(ratios[a * len(ALPHABET) + b], 6) for a, b in zip(k, k[1:]))
-        return re.search("[A-Za-z]", s) and total > MARGIN * max(len(s) - 1, PAIRS)
+        return re.search("[A-Za-z]", s) and len(set(s)) >= VARIETY and total > MARGIN * max(len(s) - 1, PAIRS)
 
     taken = [(a, b) for a, _, b in brute_spans(text)]
     out = []
