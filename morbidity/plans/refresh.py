@@ -30,8 +30,10 @@ def _bucket(n: int):
 
 
 def _sum(df: DataFrame):
-    """Rows and the sum of their hashes, exact in any order; doubles and dates hash by their bits."""
-    return F.concat_ws(":", F.count(F.lit(1)), F.sum(F.xxhash64(*df.columns).cast("decimal(20,0)")))
+    """Rows and the sums of both halves of their hashes, exact in any order; doubles and dates hash by their bits. Longs hold the sums of 2^31 rows; beyond
+    that Spark raises an error where it is set to ANSI, and goes on modulo 2^64 elsewhere."""
+    h = F.xxhash64(*df.columns)
+    return F.concat_ws(":", F.count(F.lit(1)), F.sum(F.shiftright(h, 32)), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))))
 
 
 def prints(t: study.Tables, eligible: DataFrame, cfg: Config, n: int) -> DataFrame:
@@ -74,7 +76,7 @@ def refresh(t: study.Tables, cfg: Config, folder: str, n: int = 1024) -> DataFra
     eligible = stage(study.eligible_patients(t, cfg), "patients")
     now = stage(prints(t, eligible, cfg, n), "prints")
     k, before = newest(spark, folder)
-    before = before if before is not None else spark.createDataFrame([], "bucket int, print string, run string")
+    before = before if before is not None else spark.range(0).selectExpr("cast(id as int) as bucket", "'' as print", "'' as run")
     both = now.join(before.withColumnRenamed("print", "old"), "bucket", "left")
     changed = [r.bucket for r in both.where(~F.col("print").eqNullSafe(F.col("old"))).select("bucket").collect()]  # n at most
     run = uuid.uuid4().hex
