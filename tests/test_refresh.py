@@ -129,3 +129,22 @@ def test_a_run_from_files_under_other_settings(spark, tmp_path):
         for report in {r.report for r in whole.select("report").distinct().collect()}:
             keys = [tuple(-1 if x is None else x for x in r) for r in writers.read_report(spark, str(out / "reports"), family, report).select(*writers.REPORT_ORDER).collect()]
             assert keys == sorted(keys) and keys
+
+
+def test_prints_add_longs(spark, fixture):
+    """Sums of hashes are sums of longs, not of decimals, and are the same in any order and however rows are dealt."""
+    df = fixture.tables.observation
+    sums = df.agg(refresh._sum(df).alias("s"))
+    assert "decimal" not in sums._jdf.queryExecution().optimizedPlan().toString().lower()
+    dealt = df.repartition(7, "obsid")
+    assert sums.first() == dealt.agg(refresh._sum(dealt).alias("s")).first()
+    twice = df.unionByName(df.limit(2))
+    assert sums.first() != twice.agg(refresh._sum(twice).alias("s")).first()
+
+
+def test_buckets_by_patient_keep_all_cores_busy(spark, fixture):
+    """Two buckets for each core at least, whatever number is asked for."""
+    tables, _ = study.by_patient(fixture.tables, 1)
+    read = tables.observation.groupBy("patid").count()._jdf.queryExecution().executedPlan().toString()
+    n = 2 * spark.sparkContext.defaultParallelism
+    assert f"SelectedBucketsCount: {n} out of {n}" in read
