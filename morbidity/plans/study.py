@@ -156,10 +156,12 @@ def panel_of(t: Tables, eligible: DataFrame, cfg: Config, keep: Keep = stage) ->
 
 
 def by_patient(t: Tables, n: int) -> tuple[Tables, Keep]:
-    """The tables with a patient in buckets by patient, ``n`` at least and two for each core, and the ``Keep`` that stores interim tables alike: with both, no raw or coded event is
+    """The tables with a patient in buckets by patient, ``n`` at least and two for each core, up to a shuffle's partitions, and the ``Keep`` that stores interim tables alike: with both, no raw or coded event is
     moved by patient. Spark forgets the buckets where sources are united; by then rows are reduced to patient, condition and day. Worth
     its one exchange where several panels are made from one extract."""
-    keep = by_key("patid", max(n, 2 * t.patient.sparkSession.sparkContext.defaultParallelism))
+    spark = t.patient.sparkSession
+    # with more buckets than that Spark may move both sides of a join
+    keep = by_key("patid", max(n, min(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))))
     own = {f.name: getattr(t, f.name) for f in fields(t)}
     return Tables(**{k: keep(d, k) if d is not None and "patid" in d.columns else d for k, d in own.items()}), keep
 
