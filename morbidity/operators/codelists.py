@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from morbidity.config import LOOK_BACK, PERMANENT_DAYS, Config
@@ -91,6 +93,10 @@ def set_durations(codelist: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
+def _renamed(test: Callable[[Column], Column], value: str) -> Callable[[Column], Column]:
+    return lambda key: if_known(test(key), F.lit(value), key)
+
+
 def clean_icd(icd: DataFrame, cfg: Config) -> DataFrame:
     """Hospital code rows with a corrected join key; kidney disease also gets its wider definitions."""
     key, code = F.col("disease_tomerge"), F.col("ICD10code")
@@ -106,19 +112,20 @@ def clean_icd(icd: DataFrame, cfg: Config) -> DataFrame:
     corrected = if_known(alcohol, F.lit("alcohol_problems_other"), key)
     test_copy = if_known(alcohol, F.lit("alcohol_problems_other"), F.lit(CKD_TEST))
     keys = F.when(key == CKD, F.array(corrected, test_copy, F.lit(CKD_PROC))).otherwise(F.array(corrected))
-    out = base.withColumn("disease_tomerge", F.explode(keys))
 
+    # The rules that follow meet the keys inside the array, as rules over a column would be written out again and again where a join
+    # asks for a key that isn't null.
     prefix = F.substring(code, 1, 3)
     localised = F.substring(code, 1, 5 if cfg.fix_icd else 4) == "L94.9"
-    for test, value in (
-        (prefix == "E11", "type_2_diabetes_mellitus"),
-        ((key == "diabetes") & (prefix != "E11"), "type_1_diabetes_mellitus"),
-        ((F.substring(code, 1, 2) == "M3") | localised, "connective_tissue_disorder"),
-    ):
-        out = out.withColumn("disease_tomerge", if_known(test, F.lit(value), key))
-    for old, new in ICD_RENAMES.items():
-        out = out.withColumn("disease_tomerge", if_known(key == old, F.lit(new), key))
-    return out
+    rules = [
+        (lambda k: prefix == "E11", "type_2_diabetes_mellitus"),
+        (lambda k: (k == "diabetes") & (prefix != "E11"), "type_1_diabetes_mellitus"),
+        (lambda k: (F.substring(code, 1, 2) == "M3") | localised, "connective_tissue_disorder"),
+        *[(F.lit(old).__eq__, new) for old, new in ICD_RENAMES.items()],
+    ]
+    for test, value in rules:
+        keys = F.transform(keys, _renamed(test, value))
+    return base.withColumn("disease_tomerge", F.explode(keys))
 
 
 def expand_icd(df: DataFrame) -> DataFrame:
@@ -133,10 +140,12 @@ def expand_icd(df: DataFrame) -> DataFrame:
     )
 
 
-def icd_lookup(clean: DataFrame, grouped_map: DataFrame, codelist: DataFrame) -> DataFrame:
-    """ICD-10 code to condition and duration. Conditions without a hospital code keep a null code."""
+def icd_lookup(
+    clean: DataFrame, grouped_map: DataFrame, codelist: DataFrame, keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df
+) -> DataFrame:
+    """ICD-10 code to condition and duration. Conditions without a hospital code keep a null code. The codes are used twice: ``keep`` may write them."""
     names = grouped_map.select("disease_tomerge", "list_disease_real")
-    codes = expand_icd(lookup_join(clean, names, "disease_tomerge"))
+    codes = keep(expand_icd(lookup_join(clean, names, "disease_tomerge")), "icd_conditions")
     durations = codelist.select("list_disease_real", F.col("read").alias("disease_duration")).distinct()
     # a right join in two halves, because Spark can neither broadcast nor split the kept side
     coded = lookup_join(codes, durations, "list_disease_real")

@@ -56,6 +56,8 @@ def ingest(spark: SparkSession, root: str, name: str, keep: writers.Addressed) -
     """An event table, its rejects, and (name, rows, rows with rejects). Text is read once: rejects are kept beside the parsed columns, and counted
     while the table is written; of a table that is there already, the short column of rejects is read."""
     read = read_source(spark, f"{root}/{name}", EVENTS[name])
+    # the file is told where something did not parse, so the rejects are read from those parts of the table alone
+    read = read.withColumn("file", F.when(F.size("rejected") > 0, F.col("file")))
     counts = F.count(F.lit(1)).alias("n"), F.count_if(F.size("rejected") > 0).alias("bad")
     if keep.has(read, f"raw/{name}"):
         kept = keep(read, f"raw/{name}")
@@ -64,19 +66,19 @@ def ingest(spark: SparkSession, root: str, name: str, keep: writers.Addressed) -
         seen = Observation()
         kept = keep(read, f"raw/{name}", lambda df: df.observe(seen, *counts))
         n, bad = seen.get["n"], seen.get["bad"]
-    return parsed(kept), rejects(kept).select(F.lit(name).alias("table"), "*"), (name, n, bad)
+    return parsed(kept), rejects(kept.where("file is not null")).select(F.lit(name).alias("table"), "*"), (name, n, bad)
 
 
-def code_tables(spark: SparkSession, root: str, cfg: Config) -> tuple[DataFrame, DataFrame, DataFrame]:
+def code_tables(spark: SparkSession, root: str, cfg: Config, keep: study.Keep) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Code list, ICD-10 lookup and products, from folders of lists.
 
     ``codelists`` and ``icd`` hold CSV files that may differ in their columns; ``drug_lists`` files named by list; ``disease_map``,
-    ``gemscript_map`` and ``products`` a file each.
+    ``gemscript_map`` and ``products`` a file each. Lists that are used more than once are kept.
     """
     disease_map = codelists.with_groups(readers.read_disease_map(spark, f"{root}/disease_map", cfg), cfg)
     built = codelists.build_codelist(codelists.load_codelist(listed(spark, root, "codelists")), disease_map)
-    codelist = codelists.set_durations(codelists.apply_description_rules(built), cfg)
-    lookup = codelists.icd_lookup(codelists.clean_icd(listed(spark, root, "icd"), cfg), disease_map, codelist)
+    codelist = keep(codelists.set_durations(codelists.apply_description_rules(built), cfg), "codelist")
+    lookup = codelists.icd_lookup(codelists.clean_icd(listed(spark, root, "icd"), cfg), disease_map, codelist, keep)
     drugs, gemscript, products = (listed(spark, root, n) for n in ("drug_lists", "gemscript_map", "products"))
     return codelist, lookup, codelists.build_prodcodes(drugs, gemscript, products, cfg)
 
@@ -85,12 +87,12 @@ def tables(spark: SparkSession, root: str, cfg: Config, keep: writers.Addressed)
     """All input of a run, the rejects of all event tables, and rows and rows with rejects by table. Events go from text to Parquet once; the
     code tables are kept, as every step joins them."""
     read = {n: ingest(spark, root, n, keep) for n in EVENTS}
-    codelist, lookup, products = code_tables(spark, root, cfg)
+    codelist, lookup, products = code_tables(spark, root, cfg, keep)
     found = study.Tables(
         **{n: r[0] for n, r in read.items()},
         gp_ethnicity_lookup=listed(spark, root, "gp_ethnicity_lookup"),
         hospital_ethnicity_lookup=listed(spark, root, "hospital_ethnicity_lookup"),
-        codelist=keep(codelist, "codelist"),
+        codelist=codelist,
         icd_lookup=keep(lookup, "icd_lookup"),
         prodcodes=keep(products.select("cond", F.col("prodcodeid")).distinct(), "prodcodes"),
     )

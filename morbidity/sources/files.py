@@ -10,6 +10,7 @@ import csv
 import re
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,7 +90,8 @@ def _parsed(text: Column, kind: str, date_format: str) -> Column:
 
 
 def _plain_uri(c: Column) -> Column:
-    return F.regexp_replace(c, "^file:/+", "file:/")
+    """One slash after ``file:``, as the driver's names have it. No pattern, for every row has a path."""
+    return F.when(c.startswith("file:/"), F.concat(F.lit("file:/"), F.ltrim(F.substring(c, 6, 1 << 30), F.lit("/")))).otherwise(c)
 
 
 def read_source(spark: SparkSession, pattern: str, source: Source, tag: str | None = None, folders: bool = True) -> DataFrame:
@@ -121,15 +123,20 @@ def _scan(spark, files: list[tuple[str, list[str]]], sep: str, source: Source, k
         table = spark.createDataFrame(list(places.items()), "file string, __at array<int>")
         rows = rows.join(table, "file")  # one row a file: Spark broadcasts it by its size
         texts = [F.get(F.array(*columns), F.get("__at", F.lit(k))) for k in range(len(kinds))]
-    parsed = [_parsed(t, kind, source.date_format).alias(n) for t, (n, kind) in zip(texts, kinds)]
-    bad = [
-        F.when(_parsed(t, kind, source.date_format).isNull() & (F.trim(t) != ""), F.struct(F.lit(n).alias("column"), t.alias("value")))
-        for t, (n, kind) in zip(texts, kinds)
-        if kind != "string"
-    ]
-    rejected = F.array_compact(F.array(*bad)) if bad else F.array()
     named = [F.regexp_extract(F.array_join(F.slice(F.split("file", "/"), -2, 2), "/"), tag, 1).alias("cond")] if tag else []
-    return rows.select(*named, *parsed, rejected.cast(REJECTED).alias("rejected"), "file")
+    names, was = [n for n, _ in kinds], [f"__text{k}" for k in range(len(kinds))]
+    # a step each, so that no text is taken and none is parsed twice
+    taken = rows.select(*named, *[t.alias(w) for t, w in zip(texts, was)], "file")
+    read = taken.select("*", *[_parsed(F.col(w), kind, source.date_format).alias(n) for w, (n, kind) in zip(was, kinds)])
+    bad = [(F.col(n).isNull() & (F.trim(w) != ""), n, w) for w, (n, kind) in zip(was, kinds) if kind != "string"]
+    none = F.array().cast(REJECTED)
+    rejected = none
+    if bad:
+        each = [F.when(is_bad, F.array(F.struct(F.lit(n).alias("column"), F.col(w).alias("value")))).otherwise(none) for is_bad, n, w in bad]
+        # hardly a row has any: the others pay for the test alone
+        rejected = F.when(reduce(lambda x, y: x | y, [b for b, _, _ in bad]), F.concat(*each)).otherwise(none)
+    first = ["cond"] if tag else []
+    return read.select(*first, *names, rejected.cast(REJECTED).alias("rejected"), "file")
 
 
 def rejects(read: DataFrame) -> DataFrame:

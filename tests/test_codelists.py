@@ -80,6 +80,15 @@ def test_clean_icd(make, rows):
     assert fixed == [("connective_tissue_disorder",)]
 
 
+def test_rules_are_not_repeated_when_the_key_is_joined(spark, make, tmp_path, rows):
+    """A join asks for keys that aren't null; written into its filter, rules over a column grow with every rule."""
+    make(ICD, [("Diabetes", "d", "E11.1", "x", None), ("Diabetes", "d", "E10", "x", None)]).write.parquet(str(tmp_path / "icd"))
+    make("disease_tomerge string", [("type_1_diabetes_mellitus",)]).write.parquet(str(tmp_path / "names"))
+    joined = codelists.clean_icd(spark.read.parquet(str(tmp_path / "icd")), CFG).join(spark.read.parquet(str(tmp_path / "names")), "disease_tomerge")
+    assert joined._jdf.queryExecution().executedPlan().toString().count("primary_malignancy_lung_and_trachea") <= 6
+    assert rows(joined, "ICD10code") == [("E10",)]
+
+
 def test_expand_and_lookup(make, rows):
     df = make("ICD10code string, list_disease_real string", [("I10", "Hypertension"), ("I11.0", "Heart failure"), (None, "COPD")])
     out = rows(codelists.expand_icd(df))

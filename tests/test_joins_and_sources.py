@@ -125,6 +125,16 @@ def test_unlike_files_are_one_scan(spark, tmp_path, rows):
     assert files.read_source(spark, str(tmp_path / "none*"), source).collect() == []
 
 
+def test_a_text_is_parsed_once_and_good_rows_build_no_rejects(spark, tmp_path, rows):
+    _write(tmp_path, "a.txt", "patid\tdod\tmatch_rank\n1\t05/04/2010\t2\nx\t31/02/2010\t z \n3\t \t\n\t1/2/2010\t4\n")
+    read = files.read_source(spark, str(tmp_path), files.Source(schemas.DEATH_REGISTER))
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("gettimestamp(") == 1 and plan.count("try_cast(") == 2 and "lambda" not in plan and "regexp" not in plan
+    assert rows(files.parsed(read)) == sorted([(1, "2010-04-05", 2), (None, None, None), (3, None, None), (None, None, 4)], key=repr)
+    assert [[tuple(x) for x in r.rejected] for r in read.orderBy(F.size("rejected")).collect()] == [
+        [], [], [("dod", "1/2/2010")], [("patid", "x"), ("dod", "31/02/2010"), ("match_rank", " z ")]]
+
+
 def test_two_hundred_unlike_files_are_a_scan_for_each_separator(spark, tmp_path):
     f = Fixture(spark, "/root/testdata/sf0.001")
     registry.write_unlike_files(f, str(tmp_path / "u"))

@@ -103,6 +103,20 @@ def clean_only(t, patients):
     return joins.restrict_to(t.drug_issue, patients.hint("merge"))
 
 
+def test_rejects_name_their_file_and_lists_are_read_once(spark, tmp_path, rows):
+    f = Fixture(spark, SMALL)
+    registry.write_raw_files(f, str(tmp_path / "files"))
+    with open(tmp_path / "files" / "deprivation" / "more.csv", "w") as more:
+        more.write("patid\timd2015_10\n1\tten\n2\t3\n")
+    keep = writers.Addressed(str(tmp_path / "kept"))
+    kept, bad, counted = from_files.ingest(spark, str(tmp_path / "files"), "deprivation", keep)
+    found = [(r.table, r.file.split("/")[-1], r.column, r.value) for r in bad.collect()]
+    assert found == [("deprivation", "more.csv", "imd2015_decile", "ten")] and counted[2] == 1
+    assert spark.read.parquet(str(tmp_path / "kept/raw/deprivation/*")).where("file is not null").count() == 1
+    codes, lookup, _ = from_files.code_tables(spark, str(tmp_path / "files"), CFG, keep)
+    assert all("/kept/" in x for x in [*codes.inputFiles(), *lookup.inputFiles()])
+
+
 def test_a_run_from_files_under_other_settings(spark, tmp_path):
     f = Fixture(spark, SMALL)
     root, out = str(tmp_path / "files"), tmp_path / "out"
